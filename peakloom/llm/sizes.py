@@ -1,0 +1,14 @@
+"""Joins against tables that are small by count: broadcast below a checked size, else shuffled."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``small`` marked for broadcast if a count shows at most ``rows`` rows; otherwise as
+    it is, so that the join shuffles and AQE splits skewed keys."""
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
