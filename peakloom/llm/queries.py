@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import cutoff, nearest, percentiles
+from peakloom.llm import cutoff, encodings, nearest, percentiles
 from peakloom.session import table
 
 PCTS = [10, 50, 90]
@@ -63,7 +63,18 @@ def p4_days_combined(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.combined(days, "run", PCTS).select(F.col("group").alias("run"), "pct", _level(F.col("value")).alias("level_db"))
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return encodings.label(table(spark, sf, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """Affected documents with the pairs that explain them and the text restored as far as it can be."""
+    return encodings.label(table(spark, sf, "documents"), "doc_id", "text", restored=True)
+
+
 QUERIES = {
+    "p8_found": p8_found,
+    "p8_restored": p8_restored,
     "p2_found": p2_found,
     "p2_cutoffs": p2_cutoffs,
     "p3_found": p3_found,
