@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+REPEATED = 0.3  # most that a word adds which the text has shown before: repeats are no new evidence
 SWITCH = 11.0  # cost in nats of entering a garbled span; leaving it is free
 BAD = 9.0  # cost of a character or byte that the pair cannot explain
 LOST_CLEAN = 40.0  # cost of a replacement character in clean text
@@ -47,7 +48,8 @@ SINGLE = (
 )
 
 CLASSES = " aA0.lLgGcChkjKPQSMBECF?+"
-_WORD = re.compile(r"[^ \n\r\t]*[^\x00-\x7f \n\r\t][^ \n\r\t]*")
+# a word with a non-ASCII character; tried at the start of words only, so linear in their length
+_WORD = re.compile(r"(?<![^ \n\r\t])[^ \n\r\t\x80-\U0010ffff]*+[^\x00-\x7f][^ \n\r\t]*+")
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
 _ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|.)", re.S)
 
@@ -58,6 +60,8 @@ def char_class(c: str) -> str:
         return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else " " if c in " \n\r\t" else "."
     if n < 0xA0:
         return "?"
+    if n == 0xA0 or 0x2000 <= n < 0x2010 or n == 0x202F:
+        return " "
     if n == 0xFFFD:
         return "F"
     name = unicodedata.name(c, "")
@@ -288,11 +292,15 @@ class Labeller:
             return []
         best: dict[int | None, float] = {None: 0.0}
         back: list[dict] = []
+        shown: set[int] = set()
         for _, _, gains in words:
+            most = math.inf if id(gains) not in shown else REPEATED
+            shown.add(id(gains))
             top = max(best, key=lambda s: best[s])
             leave = best[top]
             new, came = {None: leave}, {None: top}
             for s, gain in gains.items():
+                gain = min(gain, most) if s >= 0 else gain
                 stay, enter = best.get(s, -math.inf), leave - SWITCH
                 new[s], came[s] = (stay + gain, s) if stay >= enter else (enter + gain, top)
             best = new
