@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import cutoff, encodings, nearest, percentiles
+from peakloom.llm import cutoff, encodings, leakage, nearest, packing, percentiles
 from peakloom.session import table
 
 PCTS = [10, 50, 90]
 TOLERANCE_S = 30.0
+CAPACITY = 4096
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,6 +65,33 @@ def p4_days_combined(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.combined(days, "run", PCTS).select(F.col("group").alias("run"), "pct", _level(F.col("value")).alias("level_db"))
 
 
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Container of 4,096 tokens and offset in it of every notebook, or piece of one above 4,096."""
+    sizes = packing.token_counts(table(spark, sf, "documents"), "doc_id", "text", VOCABULARY)
+    return packing.packed(sizes, CAPACITY).withColumnsRenamed({"key": "doc_id", "size": "tokens"})
+
+
+def p6_containers(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers with their pieces and tokens."""
+    return p6_packed(spark, sf).groupBy("container").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"))
+
+
+def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages shared by an item and a cell of a document, in words of the cell."""
+    return leakage.spans(table(spark, sf, "documents"), ("doc_id", "text", "layout"), table(spark, sf, "eval_items"), ("item_id", "text"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_spans(spark, sf).select("item_id", "doc_id").distinct()
+
+
+def p7_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaked items with the number of documents that hold them and their longest passage."""
+    rows = p7_spans(spark, sf).withColumn("words", F.col("end_word") - F.col("first_word"))
+    each = rows.groupBy("item_id", "doc_id").agg(F.max("words").alias("words"))
+    return each.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return encodings.label(table(spark, sf, "documents"), "doc_id", "text").select("doc_id")
 
@@ -73,6 +102,11 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "p6_packed": p6_packed,
+    "p6_containers": p6_containers,
+    "p7_found": p7_found,
+    "p7_spans": p7_spans,
+    "p7_items": p7_items,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
     "p2_found": p2_found,
