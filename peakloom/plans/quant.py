@@ -9,8 +9,10 @@ from peakloom.functions import expr
 from peakloom.operators import consensus, curves, idents
 from peakloom.operators.fill import usable
 from peakloom.operators.nested import flatten
+from peakloom.operators.intervals import in_intervals
 from peakloom.operators.quantiles import quantiles
-from peakloom.plans.records import POINTS, TRACES
+from peakloom.plans.quant_sql import SQL  # noqa: F401
+from peakloom.plans.records import ISOTOPES, POINTS, TRACES
 from peakloom.session import table
 
 QS = [k / 100 for k in range(101)]
@@ -35,7 +37,7 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
 
 def trapz_auc_hof(spark, sf):
     """Area of every isotope trace, folded over its array."""
-    return areas(spark, sf).select("rec_id", "iso_pos", F.col("n").cast("long").alias("n"), F.round("auc", 3).alias("auc"))
+    return areas(spark, sf).select("rec_id", "iso_pos", F.col("n").cast("long").alias("n"), F.round("auc", 6).alias("auc"))
 
 
 def trapz_auc_window(spark, sf):
@@ -44,13 +46,13 @@ def trapz_auc_window(spark, sf):
     lag = lambda c: F.lag(c).over(w)
     part = (F.col("retention_time") - lag("retention_time")) * (F.col("intensity") + lag("intensity")) / 2
     rows = exported_points(spark, sf).withColumn("part", F.coalesce(part, F.lit(0.0)))
-    return rows.groupBy("rec_id", "iso_pos").agg(F.count("*").alias("n"), F.round(F.sum("part"), 3).alias("auc"))
+    return rows.groupBy("rec_id", "iso_pos").agg(F.count("*").alias("n"), F.round(F.sum("part"), 6).alias("auc"))
 
 
 def intensity_rollup(spark, sf):
     """One intensity per feature from its traces' areas, by each method."""
     lists = areas(spark, sf).groupBy("rec_id").agg(F.collect_list("auc").alias("a"))
-    return lists.select("rec_id", *[F.round(expr.rollup(F.col("a"), m), 3).alias(m) for m in expr.METHODS])
+    return lists.select("rec_id", *[F.round(expr.rollup(F.col("a"), m), 6).alias(m) for m in expr.METHODS])
 
 
 def hull_boxes(spark, sf):
@@ -91,7 +93,7 @@ def cutoff_filter_q(spark, sf):
 def cutoff_curve(spark, sf):
     """Intensity at 101 quantiles of every run."""
     rows = _features(spark, sf).where(usable(F.col("intensitysum")))
-    return quantiles(rows, "run", "intensitysum", QS).select("run", "q", F.round("value", 3).alias("intensity"))
+    return quantiles(rows, "run", "intensitysum", QS).select("run", "q", F.round("value", 6).alias("intensity"))
 
 
 def _psms(spark, sf):
@@ -227,7 +229,7 @@ def _curve(spark, sf):
 def survival_curves(spark, sf):
     """Traces at least that long, their summed and mean area, by MS2 and identification."""
     c = _curve(spark, sf).where(F.col("index") < SHOWN)
-    return c.select("index", "variable", "count", F.round("area", 1).alias("area"), F.round("mean", 3).alias("mean"))
+    return c.select("index", "variable", "count", F.round("area", 4).alias("area"), F.round("mean", 6).alias("mean"))
 
 
 def tradeoff_points(spark, sf):
@@ -269,17 +271,18 @@ def union_sources(spark, sf):
 
 
 def xic_extraction(spark, sf):
-    """Trace points of a run inside the boxes of its detected features, summed: the raw peaks
-    are a run's points, a query is a feature's window of m/z and time."""
-    peaks = exported_points(spark, sf).join(table(spark, sf, "feature_tsv").select("rec_id", "run"), "rec_id")
+    """Trace points of a run inside each isotope's window of m/z and time, counted and summed:
+    a run's peaks are its exported points, the queries the windows exported with the features."""
+    runs = table(spark, sf, "feature_tsv").select("rec_id", "run")
     log_mz = lambda c: F.log(c) * 1e6
-    f = _boxes(spark, sf).withColumn("m_low", log_mz(F.col("mz_low"))).withColumn("m_high", log_mz(F.col("mz_high")))
-    points = peaks.where("mass_to_charge > 0").select("run", "retention_time", "intensity", "mass_to_charge", log_mz(F.col("mass_to_charge")).alias("m"))
-    from peakloom.operators.intervals import in_intervals
-
-    hit = in_intervals(points, f.select("run", "feat_id", "m_low", "m_high", "rt_low", "rt_high"), ["run"], "m", "m_low", "m_high", 10.0)
-    hit = hit.where((F.col("retention_time") >= F.col("rt_low")) & (F.col("retention_time") <= F.col("rt_high")))
-    return hit.groupBy("run", "feat_id").agg(F.count("*").alias("points"), F.round(F.sum("intensity"), 2).alias("intensity"))
+    cells = {c: (f"features[].{c}", (0,)) for c in ("l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end")}
+    boxes = flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, ISOTOPES).join(runs, "rec_id")
+    boxes = boxes.withColumn("m_low", log_mz(F.col("mz_start")) - 1e-3).withColumn("m_high", log_mz(F.col("mz_end")) + 1e-3).drop("feature_pos")
+    points = exported_points(spark, sf).join(runs, "rec_id").where("mass_to_charge > 0")
+    points = points.select("run", "retention_time", "intensity", "mass_to_charge", log_mz(F.col("mass_to_charge")).alias("m"))
+    hit = in_intervals(points, boxes, ["run"], "m", "m_low", "m_high", 10.0)  # 10 ppm
+    inside = F.col("mass_to_charge").between(F.col("mz_start"), F.col("mz_end")) & F.col("retention_time").between(F.col("rt_start"), F.col("rt_end"))
+    return hit.where(inside).groupBy("rec_id", "iso_pos").agg(F.count("*").alias("points"), F.round(F.sum("intensity"), 2).alias("intensity"))
 
 
 def _linkable(spark, sf):
@@ -294,11 +297,11 @@ def _reference(spark, sf):
 def consensus_linking(spark, sf):
     """Features linked to the first acquired run's: each the other's nearest in m/z and time."""
     f = _linkable(spark, sf).crossJoin(F.broadcast(_reference(spark, sf)))  # one row
-    return consensus.linked(f.where("run <> ref").drop("ref"), f.where("run = ref").drop("ref"), 5.0, 30.0)
+    return consensus.linked(f.where("run <> ref").drop("ref"), f.where("run = ref").drop("ref"), 5.0, 300.0)
 
 
 def rt_alignment_points(spark, sf):
-    """Pairs of retention times of a peptide and charge in a run and in the reference run, one anchor each: the medianless first PSM."""
+    """Pairs of retention times of a peptide and charge in a run and in the reference run, one anchor each: its first PSM."""
     p = _psms(spark, sf).where("retention_time > 0 AND plain_peptide IS NOT NULL AND charge IS NOT NULL")
     anchors = p.groupBy("run", "plain_peptide", "charge").agg(F.min_by("retention_time", "psm_id").alias("rt"))
     a = anchors.crossJoin(F.broadcast(_reference(spark, sf)))  # one row
@@ -311,4 +314,3 @@ interval_join_ms2 feature_scan_lists psm_in_scan_list first_wins_peptides unassi
 global_bounds consensus_pivot unpivot_intensities missing_histogram missing_by_ident survival_curves tradeoff_points file_keys channel_joins
 group_tuple union_sources xic_extraction consensus_linking rt_alignment_points""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
-SQL: dict[str, str] = {}
