@@ -229,7 +229,7 @@ def _curve(spark, sf):
 def survival_curves(spark, sf):
     """Traces at least that long, their summed and mean area, by MS2 and identification."""
     c = _curve(spark, sf).where(F.col("index") < SHOWN)
-    return c.select("index", "variable", "count", F.round("area", 4).alias("area"), F.round("mean", 6).alias("mean"))
+    return c.select("index", "variable", "count", F.round("area", 0).alias("area"), F.round("mean", 6).alias("mean"))
 
 
 def tradeoff_points(spark, sf):

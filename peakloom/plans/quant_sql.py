@@ -91,7 +91,7 @@ JOIN ({_LONG} SELECT * FROM bounds) USING (ceid)""",
     "unpivot_intensities": _LONG + "SELECT ceid, run, intensity AS value FROM long WHERE intensity IS NOT NULL",
     "missing_histogram": _STATE + "SELECT missing, count(*) AS count FROM st GROUP BY missing",
     "missing_by_ident": _STATE + "SELECT missing, CASE WHEN identified = 1 THEN 'Identified' ELSE 'Unidentified' END AS exactly_one, identified > 0 AS any_run, count(*) AS count FROM st GROUP BY ALL",
-    "survival_curves": _CURVE + "SELECT index, variable, count, round(area, 4) AS area, round(mean, 6) AS mean FROM curve",
+    "survival_curves": _CURVE + "SELECT index, variable, count, round(area, 0) AS area, round(mean, 6) AS mean FROM curve",
     "tradeoff_points": _CURVE + _TRADE.format("count") + " UNION ALL " + _TRADE.format("mean"),
     "file_keys": _FEATURES
     + "SELECT psm_id, run || '_____qvalue_no_decoys_fdr_' || fdr AS base, run AS run_key, fdr AS fdr_key, scan AS scan_no FROM p",

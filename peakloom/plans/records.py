@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakloom.operators.nested import Flat, flatten
+from peakloom.plans.records_sql import SQL  # noqa: F401
 from peakloom.session import table
 
 TRACES = ("l_retention_times", "l_mass_to_charges", "l_intensities")
@@ -67,4 +68,3 @@ def p1_trace_sums(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_features": p1_features, "p1_isotopes": p1_isotopes, "p1_trace_sums": p1_trace_sums}
-SQL: dict[str, str] = {}
