@@ -9,8 +9,8 @@ non-ASCII words of a text labels its spans, each to be undone by its own inverse
 
 The clean model is counted over all documents in one pass.  Words that read as UTF-8
 under some pair, or hold replacement characters, are left out of the count: correct
-text hardly ever does.  The counts are one number per class and character, so at most
-the size of Unicode times ``len(CLASSES)``, whatever the corpus; they go to the tasks as a
+text hardly ever does.  The counts are one number per character and class on either side, so at most
+the size of Unicode times ``len(CLASSES)`` squared, whatever the corpus; they go to the tasks as a
 broadcast.  The second pass is a map over documents without any shuffle.
 
 Defined cases: a null text is not affected; an empty one neither; repeated documents are
@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REPEATED = 0.3  # most that a word adds which the text has shown before: repeats are no new evidence
-SWITCH = 11.0  # cost in nats of entering a garbled span; leaving it is free
+SWITCH = 9.0  # cost in nats of entering a garbled span; leaving it is free
+BACKOFF = 5.0  # characters' worth of trust in P(character | class) where a character stands alone
 BAD = 9.0  # cost of a character or byte that the pair cannot explain
 LOST_CLEAN = 40.0  # cost of a replacement character in clean text
 MEMO = 400_000  # words remembered per task; beyond it they are scored again
@@ -211,7 +212,7 @@ def _suspect(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def clean_counts(docs: DataFrame) -> DataFrame:
-    """(before, c, n): how often each character follows each class in the non-ASCII words of ``docs``."""
+    """(before, c, after, n): how often each character stands between each two classes in the non-ASCII words of ``docs``."""
     multi = [Inverse("utf-8", c) for c in UTF8_READ_AS if c not in ("cp932", "gbk")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,39 +225,46 @@ def clean_counts(docs: DataFrame) -> DataFrame:
             for word, n in words.items():
                 if "�" in word or any(f(word) for f in multi):
                     continue
-                before = " "
-                for c in word:
-                    pairs[before, c] += n
-                    before = _class(c)
-                pairs[before, " "] += n
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in pairs], pa.string()), pa.array([k[1] for k in pairs], pa.string()), pa.array(list(pairs.values()), pa.int64())], ["before", "c", "n"])
+                kinds = [" ", *map(_class, word), " "]
+                for before, c, after in zip(kinds, word, kinds[2:]):
+                    pairs[before, c, after] += n
+                pairs[kinds[-2], " ", " "] += n
+            columns = [pa.array([k[i] for k in pairs], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(pairs.values()), pa.int64())], ["before", "c", "after", "n"])
 
-    return docs.select("text").mapInArrow(count, "before string, c string, n bigint").groupBy("before", "c").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "before string, c string, after string, n bigint").groupBy("before", "c", "after").agg(F.sum("n").alias("n"))
 
 
 class Clean:
-    """log P(character | class before it) = P(class | class before) P(character | class), smoothed."""
+    """log P(class | class before) + log P(character | class), smoothed; the second of a character that
+    stands alone is its share of those of its class that do."""
 
-    def __init__(self, rows: list[tuple[str, str, int]]):
-        step, chars, of, before = Counter(), Counter(), Counter(), Counter()
-        for b, c, n in rows:
+    def __init__(self, rows: list[tuple[str, str, str, int]]):
+        step, chars, of, before, between = Counter(), Counter(), Counter(), Counter(), Counter()
+        for b, c, a, n in rows:
             k = _class(c)
             step[b, k] += n
             before[b] += n
             chars[c] += n
             of[k] += n
+            between[b, k, a] += n
         kinds = {k: 60 for k in CLASSES} | {"j": 6000, "E": 1000, "+": 1000}
         self.step = {(b, k): math.log((step[b, k] + 0.02) / (before[b] + 0.02 * len(CLASSES))) for b in CLASSES for k in CLASSES}
-        self.chars = {c: math.log((n + 0.05) / (of[_class(c)] + 0.05 * kinds[_class(c)])) for c, n in chars.items()}
-        self.rare = {k: math.log(0.05 / (of[k] + 0.05 * n)) for k, n in kinds.items()}
+        self.share = {c: (n + 0.05) / (of[_class(c)] + 0.05 * kinds[_class(c)]) for c, n in chars.items()}
+        self.rare = {k: 0.05 / (of[k] + 0.05 * n) for k, n in kinds.items()}
+        self.lone = {k: between[" ", k, " "] + BACKOFF for k in CLASSES}
+        alone = {c: n for b, c, a, n in rows if b == a == " "}
+        self.alone = {c: math.log((alone.get(c, 0) + BACKOFF * p) / self.lone[_class(c)]) for c, p in self.share.items()}
+        self.log = {c: math.log(p) for c, p in self.share.items()}
 
     def __call__(self, word: str) -> float:
         before, total = " ", 0.0
-        step, chars, rare = self.step, self.chars, self.rare
+        step, known = self.step, self.alone if len(word) == 1 else self.log
         for c in word:
-            k = _class(c)
-            p = chars.get(c)
-            total += step[before, k] + (rare[k] if p is None else p)
+            k, p = _class(c), known.get(c)
+            if p is None:
+                p = math.log(self.rare[k] * BACKOFF / self.lone[k] if len(word) == 1 else self.rare[k])
+            total += step[before, k] + p
             before = k
         return total + step[before, " "]
 
@@ -264,7 +272,7 @@ class Clean:
 class Labeller:
     """Viterbi over the non-ASCII words of one string."""
 
-    def __init__(self, rows: list[tuple[str, str, int]]):
+    def __init__(self, rows: list[tuple[str, str, str, int]]):
         self.clean, self.inverses, self.memo = Clean(rows), inverses(), {}
 
     def gains(self, word: str) -> dict[int, float]:
@@ -272,6 +280,8 @@ class Labeller:
         known = self.memo.get(word)
         if known is not None:
             return known
+        if all(c < "\x80" or _class(c) == " " for c in word):
+            return {}  # spaces of another width are no sign
         lost = word.count("�")
         base, out = self.clean(word), {}
         if lost:
@@ -328,7 +338,7 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
     them, most words first, and if wanted the text restored as far as it can be."""
     docs = _suspect(df, key, text)
     spark = df.sparkSession
-    model = spark.sparkContext.broadcast([tuple(r) for r in clean_counts(docs).collect()])  # at most classes x Unicode, a few thousand in practice
+    model = spark.sparkContext.broadcast([tuple(r) for r in clean_counts(docs).collect()])  # at most Unicode x classes squared, some thousands in practice
     schema = "key bigint, words int, pairs string" + ", text string" * restored
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
