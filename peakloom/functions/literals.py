@@ -43,9 +43,11 @@ def _scalars(text: str, start: int, closer: str) -> tuple[list[str], int] | None
     """Members of a list of scalars that starts at ``start``, and where it ends."""
     if m := _BARE.match(text, start):
         parts = text[start : m.start(1)].split(",")
+        if not parts[-1].strip():
+            parts.pop()
     else:
         m = _QUOTED.match(text, start)
-        if not m:
+        if not m or "\\" in m[0]:
             return None
         parts = [p.strip() for p in text[start : m.start(1)].split(",")]
         if parts[-1] == "":
@@ -56,8 +58,6 @@ def _scalars(text: str, start: int, closer: str) -> tuple[list[str], int] | None
         parts = [p[1:-1] for p in parts]
     if m[1] != closer:
         raise Broken(text[-40:])
-    if parts and not parts[-1].strip():
-        parts.pop()
     return parts, m.end()
 
 
