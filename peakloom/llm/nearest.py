@@ -69,16 +69,11 @@ def nearest(
     begun = F.max(F.when(F.col("is_span"), F.struct(F.col("until").alias("t"), (-F.col("id")).alias("k")))).over(before)
     coming = F.min(F.when(F.col("is_span"), F.struct(F.col("at").alias("t"), F.col("id").alias("k")))).over(after)
     swept = rows.withColumn("begun", begun).withColumn("coming", coming).where(~F.col("is_span"))
-    option = lambda distance, key: F.when(distance <= tolerance, F.struct(distance.alias("distance"), key.alias("key")))
-    best = F.array_min(
-        F.filter(
-            F.array(
-                option(F.when(F.col("at") <= F.col("begun.t"), 0.0).otherwise(F.col("at") - F.col("begun.t")), -F.col("begun.k")),
-                option(F.col("coming.t") - F.col("at"), F.col("coming.k")),
-            ),
-            lambda x: x.isNotNull(),
-        )
-    )
+    option = lambda distance, end, key: F.when(distance <= tolerance, F.struct(distance.alias("distance"), end.alias("end"), key.alias("key")))
+    within = F.col("at") <= F.col("begun.t")
+    left_of = option(F.when(within, 0.0).otherwise(F.col("at") - F.col("begun.t")), F.when(within, -F.col("begun.t")).otherwise(0.0), -F.col("begun.k"))
+    right_of = option(F.col("coming.t") - F.col("at"), F.lit(0.0), F.col("coming.k"))
+    best = F.array_min(F.filter(F.array(left_of, right_of), lambda x: x.isNotNull()))
     found = swept.select("id", best.alias("best")).where("best IS NOT NULL")
     if len(levels) > 1:
         found = found.groupBy("id").agg(F.min("best").alias("best"))
