@@ -11,7 +11,7 @@ ends of cells, and stretches shorter than a phrase are left out: neither can be
 an occurrence, so nothing is lost and the index is much smaller than the text.
 
 Documents are only mapped, never shuffled; what goes to the tasks is the items'
-phrases, in blocks of at most ``BLOCK`` items.
+phrases, in blocks of about ``BLOCK`` characters.
 
 Defined cases: null and empty texts hold nothing; items of fewer words than a phrase, and
 null items, are never found; every copy of a document and every repeated item counts by
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 PHRASE = 12
 SHARD_WORDS = 1 << 20  # words in a shard, before borders and short stretches go
 SAMPLE = 8
-BLOCK = 20_000
+BLOCK = 4_000_000  # characters of items searched at once, so some tens of MB of phrases
 
 _LETTERS = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for c in range(256))
 # The lines that begin a cell in the two plain-text layouts.
@@ -142,7 +142,7 @@ class FmIndex:
         low, high = np.zeros(len(phrases), dtype=np.int64), np.full(len(phrases), self.n, dtype=np.int64)
         alive = np.arange(len(phrases))
         for k in reversed(range(phrases.shape[1])):
-            c = phrases[alive, k]
+            c = phrases[alive, k].astype(np.int64)
             low[alive] = self.before[c] + self.matrix.rank(c, low[alive])
             high[alive] = self.before[c] + self.matrix.rank(c, high[alive])
             alive = alive[low[alive] < high[alive]]
@@ -176,7 +176,7 @@ class Phrases:
             own = [ids[w] for w in ws]
             for k in range(len(own) - length + 1):
                 found.setdefault(tuple(own[k : k + length]), set()).add(item)
-        return cls(length, ids, np.array(list(found), dtype=np.int64).reshape(len(found), length), [sorted(v) for v in found.values()])
+        return cls(length, ids, np.array(list(found), dtype=np.int32).reshape(len(found), length), [sorted(v) for v in found.values()])
 
     def search(self, docs: list[tuple[int, list[list[bytes]]]]) -> Iterator[tuple[int, int, int, int, int]]:
         """(item, doc, cell, first word, word after the last) of every span in a shard."""
@@ -233,12 +233,12 @@ def spans(docs: DataFrame, doc: tuple[str, str, str], items: DataFrame, item: tu
     words that an item shares with one cell of a document.  doc: columns of id, text and layout; item: id and text."""
     spark = docs.sparkSession
     own = items.select(F.col(item[0]).cast("bigint"), item[1]).dropna()
-    blocks = max(1, -(-own.count() // BLOCK))
+    blocks = max(1, -(-(own.agg(F.sum(F.length(item[1]))).first()[0] or 0) // BLOCK))
     out = None
     for block in range(blocks):
         part = own if blocks == 1 else own.where(F.pmod(F.xxhash64(item[0]), F.lit(blocks)) == block)
         known = Phrases.of([(k, words(t)) for k, t in part.collect()], length)
-        sent = spark.sparkContext.broadcast((length, known.ids, known.rows, known.items))  # at most about BLOCK items
+        sent = spark.sparkContext.broadcast((length, known.ids, known.rows, known.items))  # about BLOCK characters
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             phrases, held, size = Phrases(*sent.value), [], 0

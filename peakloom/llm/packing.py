@@ -52,16 +52,14 @@ def token_counts(df: DataFrame, key: str, text: str, vocabulary: str) -> DataFra
 
 
 def _packer(capacity: int, windows: int, step: int):
-    """Arrow map from (key, size) rows to (key, piece, size, bin, at, open) rows."""
+    """Arrow map from (key, size) rows to (key, piece, size, bin, at, open) rows, each given out
+    at once; what is still open at the end follows as rows without a piece, with its tokens as size."""
     names = ["key", "piece", "size", "bin", "at", "open"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = (step << 58) + (TaskContext.get().partitionId() << 34)
-        count, room, held, rows = 0, [], {}, []  # room: sorted (space left, bin)
-
-        def close(entry: tuple[int, int], is_open: bool) -> None:
-            rows.extend((*row, is_open) for row in held.pop(entry[1]))
+        count, room, rows = 0, [], []  # room: sorted (space left, bin)
 
         def place(key: int, piece: int, size: int) -> None:
             nonlocal count
@@ -70,15 +68,12 @@ def _packer(capacity: int, windows: int, step: int):
                 left, own = room.pop(k)
             else:
                 if len(room) >= windows:
-                    close(room.pop(0), False)  # the fullest
+                    room.pop(0)  # the fullest
                 left, own = capacity, first + count
-                held[own] = []
                 count += 1
-            held[own].append((key, piece, size, own, capacity - left))
+            rows.append((key, piece, size, own, capacity - left, False))
             if left > size:
                 insort(room, (left - size, own))
-            else:
-                close((0, own), False)
 
         def out() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
@@ -92,10 +87,9 @@ def _packer(capacity: int, windows: int, step: int):
                     place(key, piece, capacity)
                     size, piece = size - capacity, piece + 1
                 place(key, piece, size)
-            if len(rows) > 20_000:
-                yield out()
-        for entry in room:
-            close(entry, True)
+                if len(rows) > 20_000:
+                    yield out()
+        rows.extend((None, None, capacity - left, own, None, True) for left, own in room)
         if rows:
             yield out()
 
@@ -110,16 +104,16 @@ def packed(items: DataFrame, capacity: int, windows: int = WINDOWS, partitions:
     parts = partitions or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = items.select("key", "size").repartition(parts, F.hash("key"), F.hash("size")).sortWithinPartitions("key", "size")
     placed = staged(spread.mapInArrow(_packer(capacity, windows, 0), _PACKED))
-    left = placed.where("open").groupBy("bin").agg(F.sum("size").alias("size"))
+    left = placed.where("open").select("bin", "size")
     moved = left.select("bin", F.col("bin").alias("container"), F.lit(0).cast("bigint").alias("base"))  # so far: where each open container is
     step = 0
     while parts > 1:
         parts, step = -(-parts // FAN_IN), step + 1
         merged = left.withColumnRenamed("bin", "key").repartition(parts, F.hash("key")).sortWithinPartitions(F.desc("size"), "key")
         merged = staged(merged.mapInArrow(_packer(capacity, windows, step), _PACKED))
-        into = merged.select(F.col("key").alias("container"), F.col("bin").alias("next"), "at")
+        into = merged.where("NOT open").select(F.col("key").alias("container"), F.col("bin").alias("next"), "at")
         moved = staged(moved.join(bounded(into), "container", "left").select("bin", F.coalesce("next", "container").alias("container"), (F.col("base") + F.coalesce("at", F.lit(0))).alias("base")))
-        left = merged.where("open").groupBy("bin").agg(F.sum("size").alias("size"))
-    closed = placed.where("NOT open").select("key", "piece", "size", F.col("bin").alias("container"), "at")
-    late = placed.where("open").join(bounded(moved), "bin").select("key", "piece", "size", "container", (F.col("base") + F.col("at")).alias("at"))
-    return closed.unionByName(late)
+        left = merged.where("open").select("bin", "size")
+    # an open container was packed into another, at an offset; all others are where they were
+    final = placed.where("NOT open").join(bounded(moved.withColumnRenamed("container", "into")), "bin", "left")
+    return final.select("key", "piece", "size", F.coalesce("into", "bin").alias("container"), (F.col("at") + F.coalesce("base", F.lit(0))).alias("at"))
