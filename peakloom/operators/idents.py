@@ -45,8 +45,22 @@ def first_wins(rows: DataFrame, group: list[str], key: str, order: list[str]) ->
     return rows.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
-def run_groups(rows: DataFrame, part: list[str], order: list[str], value: str) -> DataFrame:
-    """Rows numbered by stretches of equal neighbouring values."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    starts = F.when(F.lag(value).over(w).eqNullSafe(F.col(value)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return rows.withColumn("_start", starts).withColumn("stretch", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
+def run_groups(rows: DataFrame, part: str, order: str, value: str, chunk: int = 1_000_000) -> DataFrame:
+    """Rows numbered by stretches of equal neighbouring values, in the order of an integer column.
+
+    Stretches are counted within chunks of the order and carried on from one chunk to the
+    next by a table of one row a chunk, so that no task holds a whole part.
+    """
+    rows = rows.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    keys = [part, "_chunk"]
+    inside = Window.partitionBy(*keys).orderBy(order)
+    # the first row of a chunk starts no stretch here; whether it does depends on the chunk before
+    starts = F.when(F.row_number().over(inside) == 1, 0).otherwise((~F.lag(value).over(inside).eqNullSafe(F.col(value))).cast("int"))
+    marked = rows.withColumn("_start", starts)
+    ends = marked.groupBy(*keys).agg(F.min_by(F.struct(value), order).alias("first"), F.max_by(F.struct(value), order).alias("last"), F.sum("_start").alias("inner"))
+    chunks = Window.partitionBy(part).orderBy("_chunk")
+    begins = F.when(F.lag("last").over(chunks).eqNullSafe(F.col("first")), 0).otherwise(1)
+    ends = ends.withColumn("begins", begins).withColumn("before", F.sum(F.col("begins") + F.col("inner")).over(chunks.rowsBetween(Window.unboundedPreceding, 0)) - F.col("inner"))
+    counted = marked.withColumn("_in", F.sum("_start").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = counted.join(ends.select(*(F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)), "before"), F.col(part).eqNullSafe(F.col("_k0")) & F.col("_chunk").eqNullSafe(F.col("_k1")))
+    return joined.withColumn("stretch", F.col("before") + F.col("_in")).drop("_chunk", "_start", "_in", "before", "_k0", "_k1")

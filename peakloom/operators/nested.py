@@ -48,9 +48,12 @@ class Flat:
     numeric: tuple[str, ...] = ()
     complete: bool = False
 
-    def schema(self, record_key: str) -> str:
+    def schema(self, record_key: str, nested: bool = False) -> str:
         kind = lambda c: "double" if c in self.numeric else "string"
-        return ", ".join([f"`{record_key}` bigint", *(f"`{k}` int" for k in self.keys), *(f"`{c}` {kind(c)}" for c, _ in self.fields)])
+        wrap = lambda t: f"array<{t}>" if nested else t
+        *parents, last = self.keys
+        keys = [*(f"`{k}` int" for k in parents), f"`{last}` {wrap('int')}"]
+        return ", ".join([f"`{record_key}` bigint", *keys, *(f"`{c}` {wrap(kind(c))}" for c, _ in self.fields)])
 
 
 def _pivot(triples: list[tuple], spec: Flat, pattern: re.Pattern, names: dict[str, int]) -> Iterator[tuple[tuple, list]]:
@@ -88,15 +91,18 @@ def _columns(slot: list, spec: Flat) -> tuple[list[int], list[list]]:
     return at, [numbers([m.get(k, "") for k in at]) if c in spec.numeric else [m.get(k) for k in at] for (c, _), m in zip(spec.fields, maps)]
 
 
-def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat) -> DataFrame:
+def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat, nested: bool = False) -> DataFrame:
     """Rows of one flat table of every record of ``df``.
 
     cells: text columns to the path and ordinals at which their text hangs; several
-    cells of a record are read as parts of one nested value.
+    cells of a record are read as parts of one nested value.  nested: one row per parent,
+    the last position and the fields as lists, so that what is computed per parent needs
+    no shuffle.
     """
     names = {leaf: k for k, (_, leaves) in enumerate(spec.fields) for leaf in leaves.split("|")}
-    pattern, schema = re.compile(spec.ancestor), spec.schema(record_key)
-    arrow = pa.schema([(record_key, pa.int64()), *((k, pa.int32()) for k in spec.keys), *((c, pa.float64() if c in spec.numeric else pa.string()) for c, _ in spec.fields)])
+    pattern, schema = re.compile(spec.ancestor), spec.schema(record_key, nested)
+    wrap = pa.list_ if nested else lambda t: t
+    arrow = pa.schema([(record_key, pa.int64()), *((k, pa.int32()) for k in spec.keys[:-1]), (spec.keys[-1], wrap(pa.int32())), *((c, wrap(pa.float64() if c in spec.numeric else pa.string())) for c, _ in spec.fields)])
     depth = len(spec.keys)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +114,10 @@ def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[in
 
             def out() -> pa.RecordBatch:
                 sizes = np.array(counts, dtype=np.int64)
-                keys = np.repeat(np.array(parents, dtype=np.int32).reshape(len(counts), depth - 1), sizes, axis=0)
+                owner = np.repeat(np.arange(len(counts)), sizes)
+                keys = np.array(parents, dtype=np.int32).reshape(len(counts), depth - 1)
                 place = np.array(places, dtype=np.int32)
-                record = pa.array(records, pa.int64()).take(pa.array(np.repeat(np.arange(len(counts)), sizes)))
+                record = pa.array(records, pa.int64())
                 columns = [np.array(v, dtype=np.float64) if c in spec.numeric else v for (c, _), v in zip(spec.fields, values)]
                 keep = np.ones(len(place), dtype=bool)
                 for (c, _), v in zip(spec.fields, columns):
@@ -120,9 +127,17 @@ def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[in
                             keep &= ~np.isnan(v)
                     elif spec.complete:
                         keep &= np.array([x is not None for x in v], dtype=bool)
-                made = [record, *(pa.array(keys[:, k]) for k in range(depth - 1)), pa.array(place)]
-                made += [pa.array(v, pa.float64(), from_pandas=True) if c in spec.numeric else pa.array(v, pa.string()) for (c, _), v in zip(spec.fields, columns)]
-                return pa.RecordBatch.from_arrays(made, schema=arrow).filter(pa.array(keep))
+                made = [pa.array(v, pa.float64(), from_pandas=True) if c in spec.numeric else pa.array(v, pa.string()) for (c, _), v in zip(spec.fields, columns)]
+                kept = pa.array(np.flatnonzero(keep))
+                made = [c.take(kept) for c in (pa.array(place), *made)]
+                owner = owner[keep]
+                if nested:
+                    sizes = np.bincount(owner, minlength=len(counts))
+                    owner = np.flatnonzero(sizes)
+                    starts = pa.array(np.concatenate([[0], np.cumsum(sizes[owner])]), pa.int32())
+                    made = [pa.ListArray.from_arrays(starts, c) for c in made]
+                heads = [record.take(pa.array(owner)), *(pa.array(keys[owner, k]) for k in range(depth - 1))]
+                return pa.RecordBatch.from_arrays([*heads, *made], schema=arrow)
 
             for rec, *own in zip(batch.column(record_key).to_pylist(), *texts):
                 try:

@@ -20,19 +20,19 @@ UPTO = 100
 SHOWN = 100
 
 
-def exported_points(spark: SparkSession, sf: str) -> DataFrame:
+def exported_points(spark: SparkSession, sf: str, nested: bool = False) -> DataFrame:
     cells = {c: (f"features[].{c}", (0,)) for c in TRACES}
-    return flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, POINTS)
+    return flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, POINTS, nested)
 
 
 def traces(spark: SparkSession, sf: str) -> DataFrame:
-    """(rec_id, iso_pos, points) with the points in order of position."""
-    point = F.struct("point_pos", "retention_time", "mass_to_charge", "intensity")
-    return exported_points(spark, sf).groupBy("rec_id", "iso_pos").agg(F.sort_array(F.collect_list(point)).alias("points"))
+    """(rec_id, iso_pos, retention_time, mass_to_charge, intensity) with lists in order of position."""
+    return exported_points(spark, sf, nested=True)
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:
-    return traces(spark, sf).select("rec_id", "iso_pos", F.size("points").alias("n"), expr.trapezoid(F.col("points"), "retention_time", "intensity").alias("auc"))
+    points = F.arrays_zip("retention_time", "intensity")
+    return traces(spark, sf).select("rec_id", "iso_pos", F.size("intensity").alias("n"), expr.trapezoid(points, "retention_time", "intensity").alias("auc"))
 
 
 def trapz_auc_hof(spark, sf):
@@ -57,8 +57,8 @@ def intensity_rollup(spark, sf):
 
 def hull_boxes(spark, sf):
     """Bounds and median m/z of every trace, m/z widened by the hull's tolerance."""
-    low, high = lambda c: F.array_min(F.col("points")[c]), lambda c: F.array_max(F.col("points")[c])
-    mid = expr.array_median(F.col("points")["mass_to_charge"])
+    low, high = F.array_min, F.array_max
+    mid = expr.array_median(F.col("mass_to_charge"))
     half = expr.ppm(mid, idents.HULL_PPM)
     r = lambda c, n: F.round(c, 5).alias(n)
     return traces(spark, sf).select("rec_id", "iso_pos", r(low("retention_time"), "rt_start"), r(high("retention_time"), "rt_end"), r(mid, "mz_median"), r(mid - half, "mz_start"), r(mid + half, "mz_end"))
@@ -151,7 +151,7 @@ def unassigned_psms(spark, sf):
 
 def run_length_groups(spark, sf):
     """Stretches of PSMs of one charge in file order within a run."""
-    rows = idents.run_groups(_psms(spark, sf).select("run", "psm_id", "charge"), ["run"], ["psm_id"], "charge")
+    rows = idents.run_groups(_psms(spark, sf).select("run", "psm_id", "charge"), "run", "psm_id", "charge")
     return rows.groupBy("run", "stretch", "charge").agg(F.count("*").alias("n"), F.min("psm_id").alias("first_psm"))
 
 

@@ -68,7 +68,8 @@ def test_scans_in_boxes(spark):
 
 def test_run_groups_and_first_wins(spark):
     df = spark.createDataFrame([("r", k, v) for k, v in enumerate(["x", "x", "y", "x", None, None])], "g string, k int, v string")
-    assert [r.stretch for r in idents.run_groups(df, ["g"], ["k"], "v").orderBy("k").collect()] == [1, 1, 2, 3, 4, 4]
+    for chunk in (1, 2, 3, 100):
+        assert [r.stretch for r in idents.run_groups(df, "g", "k", "v", chunk).orderBy("k").collect()] == [1, 1, 2, 3, 4, 4]
     assert sorted(r.k for r in idents.first_wins(df, ["g"], "v", ["k"]).collect()) == [0, 2, 4]
 
 
