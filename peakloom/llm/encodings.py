@@ -7,11 +7,12 @@ characters, garbled.  So the score of a word under a pair state is the clean mod
 score of the word with the pair's inverse applied, and Viterbi's best path through the
 non-ASCII words of a text labels its spans, each to be undone by its own inverse.
 
-The clean model is counted over all documents in one pass.  Words that read as UTF-8
+The clean model is counted over all documents, and once more without the words that the
+first count shows to be garbled (Viterbi training).  Words that read as UTF-8
 under some pair, or hold replacement characters, are left out of the count: correct
 text hardly ever does.  The counts are one number per character and class on either side, so at most
 the size of Unicode times ``len(CLASSES)`` squared, whatever the corpus; they go to the tasks as a
-broadcast.  The second pass is a map over documents without any shuffle.
+broadcast.  Labelling is a map over documents without any shuffle.
 
 Defined cases: a null text is not affected; an empty one neither; repeated documents are
 each judged, by their own rows; JSON notebooks are judged by their decoded strings, and a
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROUNDS = 2  # counts of the clean model: the first over all words, the next without those found garbled
 REPEATED = 0.3  # most that a word adds which the text has shown before: repeats are no new evidence
 SWITCH = 9.0  # cost in nats of entering a garbled span; leaving it is free
 BACKOFF = 5.0  # characters' worth of trust in P(character | class) where a character stands alone
@@ -126,6 +128,11 @@ class Inverse:
         self.written, self.read, self.times = written, read, times
         self.name = f"{written}>{read}" + "*2" * (times > 1)
         self.bytes = _byte_map(read)
+        self.japanese = written in ("cp932", "euc_jp")
+
+    def _plausible(self, text: str, bad: int) -> tuple[str, int] | None:
+        """Two bytes that make up nothing Japanese are no Japanese text."""
+        return (text, bad) if not self.japanese or any(_class(c) in "hkjKPB" for c in text) else None
 
     def _encode(self, text: str) -> bytes | None:
         if not self.bytes:
@@ -142,14 +149,14 @@ class Inverse:
         raw = self._encode(word)
         if raw is not None:
             try:
-                return raw.decode(self.written), 0
+                return self._plausible(raw.decode(self.written), 0)
             except UnicodeDecodeError:
                 pass
-        if self.written in ("cp932", "euc_jp"):
+        if self.japanese:
             if raw is None:
                 return None
             text = raw.decode(self.written, errors="replace")
-            return (text, n) if (n := text.count("�")) * 4 <= len(text) else None
+            return self._plausible(text, n) if (n := text.count("�")) * 4 <= len(text) else None
         bad = done = 0
 
         def run(m: re.Match) -> str:
@@ -211,19 +218,25 @@ def _suspect(df: DataFrame, key: str, text: str) -> DataFrame:
     return own.where((F.octet_length("text") != F.length("text")) | F.contains("text", F.lit("\\u")))
 
 
-def clean_counts(docs: DataFrame) -> DataFrame:
-    """(before, c, after, n): how often each character stands between each two classes in the non-ASCII words of ``docs``."""
+def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
+    """(before, c, after, n): how often each character stands between each two classes in the non-ASCII words of ``docs``.
+
+    earlier: broadcast counts; words that lie in garbled spans under them are left out.
+    """
     multi = [Inverse("utf-8", c) for c in UTF8_READ_AS if c not in ("cp932", "gbk")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hmm = Labeller(earlier.value) if earlier else None
         for batch in batches:
             words: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 for s in strings(text):
                     words.update(_WORD.findall(s))
+                    if hmm:
+                        words.subtract(s[start:end] for start, end, _ in hmm.spans(s))
             pairs: Counter = Counter()
             for word, n in words.items():
-                if "�" in word or any(f(word) for f in multi):
+                if n <= 0 or "�" in word or any(f(word) for f in multi):
                     continue
                 kinds = [" ", *map(_class, word), " "]
                 for before, c, after in zip(kinds, word, kinds[2:]):
@@ -338,7 +351,9 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
     them, most words first, and if wanted the text restored as far as it can be."""
     docs = _suspect(df, key, text)
     spark = df.sparkSession
-    model = spark.sparkContext.broadcast([tuple(r) for r in clean_counts(docs).collect()])  # at most Unicode x classes squared, some thousands in practice
+    model = None
+    for _ in range(ROUNDS):
+        model = spark.sparkContext.broadcast([tuple(r) for r in clean_counts(docs, model).collect()])  # at most Unicode x classes squared, some thousands in practice
     schema = "key bigint, words int, pairs string" + ", text string" * restored
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
