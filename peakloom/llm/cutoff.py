@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peakloom.llm.sizes import bounded
+from peakloom.llm.sizes import is_small
 
 CELLS_PER_OCTAVE = 256
 
@@ -42,7 +42,7 @@ def counted(df: DataFrame, source: str, key: str, score: str) -> DataFrame:
     return own.groupBy("source", "key").agg(F.max("score").alias("score"))
 
 
-def _cutoffs(one: DataFrame, fractions: DataFrame) -> DataFrame:
+def _cutoffs(one: DataFrame, fractions: DataFrame, small: bool) -> DataFrame:
     cells = one.groupBy("source", score_cell(F.col("score")).alias("cell")).agg(F.count("*").alias("n"))
     down = Window.partitionBy("source").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
     reached = F.col("through") / F.col("counted") >= F.col("fraction")
@@ -56,7 +56,7 @@ def _cutoffs(one: DataFrame, fractions: DataFrame) -> DataFrame:
         .select("source", "cell", (F.col("through") - F.col("n")).alias("before"), "counted", "fraction")
     )
     # one row per source, so no larger than the table of fractions
-    inside = one.withColumn("cell", score_cell(F.col("score"))).join(bounded(target), ["source", "cell"])
+    inside = one.withColumn("cell", score_cell(F.col("score"))).join(_sent(target, small), ["source", "cell"])
     values = inside.groupBy("source", "score", "before", "counted", "fraction").agg(F.count("*").alias("n"))
     order = Window.partitionBy("source").orderBy(F.desc("score"))
     return (
@@ -68,19 +68,26 @@ def _cutoffs(one: DataFrame, fractions: DataFrame) -> DataFrame:
     )
 
 
-def _fractions(fractions: DataFrame, source: str, fraction: str) -> DataFrame:
+def _sent(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def _fractions(fractions: DataFrame, source: str, fraction: str) -> tuple[DataFrame, bool]:
+    """(source, fraction), and whether a count shows that few sources have one."""
     wanted = F.least(F.greatest(F.col(fraction).cast("double"), F.lit(1e-300)), F.lit(1.0))
     own = fractions.where(F.col(source).isNotNull() & F.col(fraction).isNotNull() & ~F.isnan(fraction))
-    return bounded(own.groupBy(F.col(source).alias("source")).agg(F.max(wanted).alias("fraction")))
+    small = is_small(own)
+    return _sent(own.groupBy(F.col(source).alias("source")).agg(F.max(wanted).alias("fraction")), small), small
 
 
 def cutoffs(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str) -> DataFrame:
     """(source, cutoff, counted, kept, fraction), one row per source."""
-    return _cutoffs(counted(df, source, key, score), _fractions(fractions, source, fraction)).withColumnRenamed("source", source)
+    return _cutoffs(counted(df, source, key, score), *_fractions(fractions, source, fraction)).withColumnRenamed("source", source)
 
 
 def kept(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str) -> DataFrame:
     """(source, key, score, cutoff) of every record at or above its source's cutoff."""
     one = counted(df, source, key, score)
-    cut = _cutoffs(one, _fractions(fractions, source, fraction)).select("source", "cutoff")
-    return one.join(bounded(cut), "source").where("score >= cutoff").withColumnsRenamed({"source": source, "key": key})
+    wanted, small = _fractions(fractions, source, fraction)
+    cut = _cutoffs(one, wanted, small).select("source", "cutoff")
+    return one.join(_sent(cut, small), "source").where("score >= cutoff").withColumnsRenamed({"source": source, "key": key})

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``small`` marked for broadcast if a count shows at most ``rows`` rows; otherwise as
     it is, so that the join shuffles and AQE splits skewed keys."""
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+    return F.broadcast(small) if is_small(small, rows) else small
