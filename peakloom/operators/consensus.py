@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from peakloom.functions.expr import SEPARATOR
 
+# The columns per run of the full wide table; the reduced one has the first seven, the minimal one four.
+FULL = (
+    "intensity", "l_pep_ident", "l_raw_pep_ident", "l_prot_ident", "openms_fid", "charge", "l_ms2_scans",
+    "l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end", "l_retention_times", "l_mass_to_charges", "l_intensities",
+)
+REDUCED = FULL[:7]
+MINIMAL = ("intensity", "openms_fid", "charge", "l_ms2_scans")
+
 
 def looked_up(edges: DataFrame, features: DataFrame) -> DataFrame:
     """(ceid, run, feature columns): one feature per element and run, the one with the smallest id."""
@@ -22,13 +30,13 @@ def uncovered(features: DataFrame, edges: DataFrame) -> DataFrame:
 
 def wide(long: DataFrame, key: str, runs: list[str], headers: list[str]) -> DataFrame:
     """One row per key; columns ``run_____header``, by header and then run; nulls where a run lacks the element.
+    ``long`` has one row per key and run, as ``looked_up`` gives.
 
     The width is runs x headers, so ``runs`` must be a list that fits a schema; the long
     table is the form for more.
     """
-    runs = sorted(runs)
-    pick = [F.max(F.when(F.col("run") == r, F.col(h))).alias(f"{r}{SEPARATOR}{h}") for h in headers for r in runs]
-    return long.groupBy(key).agg(*pick)
+    one = long.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct(*headers)))).alias("by_run"))  # at most one row a run
+    return one.select(key, *[F.col("by_run")[r][h].alias(f"{r}{SEPARATOR}{h}") for h in headers for r in sorted(runs)])
 
 
 def bounds(long: DataFrame) -> DataFrame:

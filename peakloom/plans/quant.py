@@ -156,11 +156,10 @@ def run_length_groups(spark, sf):
 
 
 def _long(spark, sf):
-    cols = ["run", "feature_id", "rec_id", "intensity", "charge", "l_pep_ident", "l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end"]
-    f = _exported(spark, sf).select(*cols)
+    f = _exported(spark, sf).select("run", "feature_id", "rec_id", *consensus.FULL)
     floats = lambda c: F.transform(F.regexp_extract_all(F.col(c), F.lit(r"(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)"), 1), lambda x: x.try_cast("double"))
     for new, old in (("mz_starts", "l_mz_start"), ("mz_ends", "l_mz_end"), ("rt_starts", "l_rt_start"), ("rt_ends", "l_rt_end")):
-        f = f.withColumn(new, floats(old)).drop(old)
+        f = f.withColumn(new, floats(old))
     f = f.withColumn("identified", (F.length("l_pep_ident") > 2).cast("int")).withColumn("intensity", F.when(usable(F.col("intensity")), F.col("intensity")))
     return consensus.looked_up(table(spark, sf, "consensus_edges"), f)
 
@@ -182,13 +181,27 @@ def global_bounds(spark, sf):
 
 def _runs(spark, sf):
     # one row per acquisition: the manifest is the bounded list of columns
-    return [r[0] for r in table(spark, sf, "run_manifest").select("run").distinct().orderBy("run").limit(2000).collect()]
+    return [r[0] for r in table(spark, sf, "run_manifest").select("run").distinct().orderBy("run").collect()]
 
 
-def consensus_pivot(spark, sf):
-    """Wide table of intensities and charges by run, with the elements' bounds."""
+def _pivot(spark, sf, headers):
     long = _long(spark, sf)
-    return consensus.wide(long, "ceid", _runs(spark, sf), ["intensity", "charge"]).join(consensus.bounds(long), "ceid")
+    return consensus.wide(long, "ceid", _runs(spark, sf), list(headers)).join(consensus.bounds(long), "ceid")
+
+
+def consensus_pivot_full(spark, sf):
+    """Wide table with all columns of every run, and the elements' bounds."""
+    return _pivot(spark, sf, consensus.FULL)
+
+
+def consensus_pivot_reduced(spark, sf):
+    """Wide table without windows and traces."""
+    return _pivot(spark, sf, consensus.REDUCED)
+
+
+def consensus_pivot_minimal(spark, sf):
+    """Wide table of intensities, features, charges and scans."""
+    return _pivot(spark, sf, consensus.MINIMAL)
 
 
 def unpivot_intensities(spark, sf):
@@ -311,6 +324,6 @@ def rt_alignment_points(spark, sf):
 
 _NAMES = """trapz_auc_hof trapz_auc_window intensity_rollup hull_boxes feature_hills cutoff_filter_t cutoff_filter_q cutoff_curve
 interval_join_ms2 feature_scan_lists psm_in_scan_list first_wins_peptides unassigned_psms run_length_groups consensus_lookup coverage_anti
-global_bounds consensus_pivot unpivot_intensities missing_histogram missing_by_ident survival_curves tradeoff_points file_keys channel_joins
+global_bounds consensus_pivot_full consensus_pivot_reduced consensus_pivot_minimal unpivot_intensities missing_histogram missing_by_ident survival_curves tradeoff_points file_keys channel_joins
 group_tuple union_sources xic_extraction consensus_linking rt_alignment_points""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}

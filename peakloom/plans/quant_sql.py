@@ -1,5 +1,7 @@
 """SQL for the queries of ``quant``, for an engine that casts text to nested lists."""
 
+from peakloom.operators.consensus import FULL, MINIMAL, REDUCED
+
 _LIST = (
     "try_cast(regexp_replace(regexp_replace(replace(translate(regexp_replace(regexp_replace({0}, '(?:np|numpy)\\.float64\\(([^()]*)\\)', '\\1', 'g'),"
     " 'array\\((\\[[^\\[\\]]*\\])\\)', '\\1', 'g'), '()', '[]'), '''', ''), ',\\s*\\]', ']', 'g'), 'None|null|nan|NaN', 'NULL', 'g') AS DOUBLE[][])"
@@ -30,9 +32,10 @@ att AS (SELECT s.rec_id, s.intensity, p.psm_id, p.plain_peptide, coalesce(p.pept
   FROM s JOIN p ON s.run = p.run AND s.fdr = p.fdr AND s.scan = p.scan)
 """
 _NUMS = "list_transform(regexp_extract_all({0}, '-?\\d+(?:\\.\\d+)?(?:[eE][-+]?\\d+)?'), lambda x: x::DOUBLE)"
+_COLUMNS = ", ".join(f"f.{c}" for c in FULL if c not in ("intensity", "charge"))
 _LONG = f"""WITH e AS (SELECT DISTINCT ceid, run, feature_id FROM consensus_edges),
 long AS (SELECT e.ceid, e.run, f.rec_id, f.charge, CASE WHEN f.intensity >= 0 AND NOT isnan(f.intensity) AND NOT isinf(f.intensity) THEN f.intensity END AS intensity,
-  (length(f.l_pep_ident) > 2)::INT AS identified, {_NUMS.format("l_mz_start")} AS ms, {_NUMS.format("l_mz_end")} AS me, {_NUMS.format("l_rt_start")} AS rs, {_NUMS.format("l_rt_end")} AS re
+  {_COLUMNS}, (length(f.l_pep_ident) > 2)::INT AS identified, {_NUMS.format("l_mz_start")} AS ms, {_NUMS.format("l_mz_end")} AS me, {_NUMS.format("l_rt_start")} AS rs, {_NUMS.format("l_rt_end")} AS re
   FROM e JOIN feature_tsv f ON e.run = f.run AND e.feature_id = f.openms_fid
   QUALIFY row_number() OVER (PARTITION BY e.ceid, e.run ORDER BY e.feature_id, f.rec_id) = 1),
 bounds AS (SELECT ceid, min(ms[1]) AS first_iso_global_min_mz, max(me[1]) AS first_iso_global_max_mz, min(rs[1]) AS first_iso_global_min_rt, max(re[1]) AS first_iso_global_max_rt,
@@ -54,6 +57,13 @@ pairs AS (SELECT a.feat_id, a.run, r.feat_id AS ref_id, abs(a.mz - r.mz) / r.mz
   FROM c a JOIN c r ON a.charge = r.charge AND abs(a.mz - r.mz) <= r.mz * (5.0 * 1e-6) AND abs(a.rt - r.rt) <= 300.0
   WHERE r.run = (SELECT run FROM ref) AND a.run <> (SELECT run FROM ref))
 """
+
+
+def _wide(headers: tuple[str, ...]) -> str:
+    one = lambda h: f"(PIVOT ({_LONG} SELECT ceid, run || '_____{h}' AS h, {h} AS v FROM long) ON h USING max(v) GROUP BY ceid)"
+    return "SELECT * FROM " + one(headers[0]) + "".join(f" JOIN {one(h)} USING (ceid)" for h in headers[1:]) + f" JOIN ({_LONG} SELECT * FROM bounds) USING (ceid)"
+
+
 _QS = ", ".join(str(k / 100) for k in range(101))
 
 SQL = {
@@ -85,9 +95,9 @@ SELECT run, stretch::BIGINT AS stretch, charge, count(*) AS n, min(psm_id) AS fi
     "consensus_lookup": _LONG + "SELECT ceid, run, rec_id FROM long",
     "coverage_anti": "SELECT run, openms_fid AS feature_id, rec_id FROM feature_tsv f WHERE NOT EXISTS (SELECT 1 FROM consensus_edges e WHERE e.run = f.run AND e.feature_id = f.openms_fid)",
     "global_bounds": _LONG + "SELECT * FROM bounds",
-    "consensus_pivot": f"""SELECT * FROM (PIVOT ({_LONG} SELECT ceid, run || '_____intensity' AS h, intensity FROM long) ON h USING max(intensity) GROUP BY ceid)
-JOIN (PIVOT ({_LONG} SELECT ceid, run || '_____charge' AS h, charge FROM long) ON h USING max(charge) GROUP BY ceid) USING (ceid)
-JOIN ({_LONG} SELECT * FROM bounds) USING (ceid)""",
+    "consensus_pivot_full": _wide(FULL),
+    "consensus_pivot_reduced": _wide(REDUCED),
+    "consensus_pivot_minimal": _wide(MINIMAL),
     "unpivot_intensities": _LONG + "SELECT ceid, run, intensity AS value FROM long WHERE intensity IS NOT NULL",
     "missing_histogram": _STATE + "SELECT missing, count(*) AS count FROM st GROUP BY missing",
     "missing_by_ident": _STATE + "SELECT missing, CASE WHEN identified = 1 THEN 'Identified' ELSE 'Unidentified' END AS exactly_one, identified > 0 AS any_run, count(*) AS count FROM st GROUP BY ALL",
