@@ -286,7 +286,7 @@ class Labeller:
     """Viterbi over the non-ASCII words of one string."""
 
     def __init__(self, rows: list[tuple[str, str, str, int]]):
-        self.clean, self.inverses, self.memo = Clean(rows), inverses(), {}
+        self.clean, self.inverses, self.memo, self.top = Clean(rows), inverses(), {}, {}
 
     def gains(self, word: str) -> dict[int, float]:
         """State to its score less the clean state's, where it differs from not being possible; -1 is the lost state."""
@@ -308,17 +308,29 @@ class Labeller:
             self.memo[word] = out
         return out
 
+    def most(self, text: str) -> float:
+        """No path through the text can gain more than this: every word's best gain, repeats as far as they count."""
+        total = 0.0
+        for word, n in Counter(_WORD.findall(text)).items():
+            top = self.top.get(word)
+            if top is None:
+                top = max(0.0, max(self.gains(word).values(), default=0.0))
+                if len(self.top) < MEMO:
+                    self.top[word] = top
+            total += top + (n - 1) * (top if "�" in word else min(top, REPEATED))
+        return total
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, end, state) of the garbled words of ``text``, in order."""
-        words = [(m.start(), m.end(), self.gains(m[0])) for m in _WORD.finditer(text)]
-        if not any(g > 0 for *_, gains in words for g in gains.values()):
+        if self.most(text) <= SWITCH:
             return []
+        words = [(m.start(), m.end(), self.gains(m[0])) for m in _WORD.finditer(text)]
         best: dict[int | None, float] = {None: 0.0}
         back: list[dict] = []
-        shown: set[int] = set()
-        for _, _, gains in words:
-            most = math.inf if id(gains) not in shown else REPEATED
-            shown.add(id(gains))
+        shown: set[str] = set()
+        for start, end, gains in words:
+            most = REPEATED if (word := text[start:end]) in shown else math.inf
+            shown.add(word)
             top = max(best, key=lambda s: best[s])
             leave = best[top]
             new, came = {None: leave}, {None: top}
