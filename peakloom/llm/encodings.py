@@ -2,17 +2,19 @@
 
 A hidden Markov model has one clean state, one state per pair of encodings (written in
 one, read in another) and one for text lost to replacement characters.  The clean state
-emits characters by a character-class bigram model; a pair state emits the same
-characters, garbled.  So the score of a word under a pair state is the clean model's
-score of the word with the pair's inverse applied, and Viterbi's best path through the
-non-ASCII words of a text labels its spans, each to be undone by its own inverse.
+emits characters by a character-class bigram model, or a word as a whole by the number of
+texts that hold it; a pair state emits the same words, garbled.  So the score of a word
+under a pair state is the clean model's score of the word with the pair's inverse applied,
+and Viterbi's best path through the non-ASCII words of a text labels its spans, each to be
+undone by its own inverse.
 
 The clean model is counted over all documents, and once more without the words that the
-first count shows to be garbled (Viterbi training).  Words that read as UTF-8
+first count shows to be garbled (Viterbi training); only this second count knows whole
+words, so that garbled ones do not speak for themselves.  Words that read as UTF-8
 under some pair, or hold replacement characters, are left out of the count: correct
 text hardly ever does.  The counts are one number per character and class on either side, so at most
-the size of Unicode times ``len(CLASSES)`` squared, whatever the corpus; they go to the tasks as a
-broadcast.  Labelling is a map over documents without any shuffle.
+the size of Unicode times ``len(CLASSES)`` squared, and one per word for at most ``BUCKETS * WORDS``
+words, whatever the corpus; they go to the tasks as a broadcast.  Labelling is a map over documents without any shuffle.
 
 Defined cases: a null text is not affected; an empty one neither; repeated documents are
 each judged, by their own rows; JSON notebooks are judged by their decoded strings, and a
@@ -29,7 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROUNDS = 2  # counts of the clean model: the first over all words, the next without those found garbled
@@ -38,6 +40,9 @@ SWITCH = 9.0  # cost in nats of entering a garbled span; leaving it is free
 BACKOFF = 5.0  # characters' worth of trust in P(character | class) where a character stands alone
 BAD = 9.0  # cost of a character or byte that the pair cannot explain
 LOST_CLEAN = 40.0  # cost of a replacement character in clean text
+BUCKETS, WORDS = 64, 1024  # hash buckets of words, and how many of each are known as a whole: those in most texts
+LONGEST = 40  # characters of a word known as a whole
+MARK = 3.0  # cost of an ASCII mark at the end of a word known as a whole
 MEMO = 400_000  # words remembered per task; beyond it they are scored again
 
 # Pairs (written in, read in) that occur in practice.
@@ -53,6 +58,7 @@ SINGLE = (
 CLASSES = " aA0.lLgGcChkjKPQSMBECF?+"
 # a word with a non-ASCII character; tried at the start of words only, so linear in their length
 _WORD = re.compile(r"(?<![^ \n\r\t])[^ \n\r\t\x80-\U0010ffff]*+[^\x00-\x7f][^ \n\r\t]*+")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
 _ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|.)", re.S)
 
@@ -219,7 +225,8 @@ def _suspect(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
-    """(before, c, after, n): how often each character stands between each two classes in the non-ASCII words of ``docs``.
+    """(before, c, after, n): how often each character stands between each two classes in the non-ASCII words of ``docs``;
+    with ``earlier`` also, before and after being empty, how many texts hold the word c, the empty c for all words together.
 
     earlier: broadcast counts; words that lie in garbled spans under them are left out.
     """
@@ -229,14 +236,25 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
         hmm = Labeller(earlier.value) if earlier else None
         for batch in batches:
             words: Counter = Counter()
+            texts: Counter = Counter()
             for text in batch.column(0).to_pylist():
+                own: Counter = Counter()
                 for s in strings(text):
-                    words.update(_WORD.findall(s))
+                    own.update(_WORD.findall(s))
                     if hmm:
-                        words.subtract(s[start:end] for start, end, _ in hmm.spans(s))
+                        own.subtract(s[start:end] for start, end, _ in hmm.spans(s))
+                own = +own
+                words.update(own)
+                texts.update(own.keys())
             pairs: Counter = Counter()
             for word, n in words.items():
-                if n <= 0 or "�" in word or any(f(word) for f in multi):
+                if "�" in word:
+                    continue
+                if hmm:
+                    if 1 < len(core := word.strip(_MARKS)) <= LONGEST:
+                        pairs["", core, ""] += texts[word]
+                    pairs["", "", ""] += texts[word]
+                if any(f(word) for f in multi):
                     continue
                 kinds = [" ", *map(_class, word), " "]
                 for before, c, after in zip(kinds, word, kinds[2:]):
@@ -245,14 +263,19 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
             columns = [pa.array([k[i] for k in pairs], pa.string()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(pairs.values()), pa.int64())], ["before", "c", "after", "n"])
 
-    return docs.select("text").mapInArrow(count, "before string, c string, after string, n bigint").groupBy("before", "c", "after").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(count, "before string, c string, after string, n bigint").groupBy("before", "c", "after").agg(F.sum("n").alias("n"))
+    most = Window.partitionBy(F.pmod(F.hash("c"), F.lit(BUCKETS)), F.col("before") == "").orderBy(F.desc("n"), "c")
+    return counts.withColumn("rank", F.row_number().over(most)).where((F.col("before") != "") | (F.col("c") == "") | (F.col("rank") <= WORDS)).drop("rank")
 
 
 class Clean:
     """log P(class | class before) + log P(character | class), smoothed; the second of a character that
-    stands alone is its share of those of its class that do."""
+    stands alone is its share of those of its class that do.  A word that texts hold has at least its share of all words."""
 
     def __init__(self, rows: list[tuple[str, str, str, int]]):
+        self.texts = {c: n for b, c, _, n in rows if not b and c}
+        self.total = sum(n for b, c, _, n in rows if not b and not c) or 1
+        rows = [r for r in rows if r[0]]
         step, chars, of, before, between = Counter(), Counter(), Counter(), Counter(), Counter()
         for b, c, a, n in rows:
             k = _class(c)
@@ -270,7 +293,17 @@ class Clean:
         self.alone = {c: math.log((alone.get(c, 0) + BACKOFF * p) / self.lone[_class(c)]) for c, p in self.share.items()}
         self.log = {c: math.log(p) for c, p in self.share.items()}
 
-    def __call__(self, word: str) -> float:
+    def __call__(self, word: str, own: int = 0) -> float:
+        """own: texts not to count, as that in which the word was met says nothing for it."""
+        core = word.strip(_MARKS)
+        held = self.texts.get(core, 0) - own
+        whole = math.log(held / self.total) - MARK * (len(word) - len(core)) if held > 0 else -math.inf
+        return max(whole, self.spelt(word))
+
+    def commoner(self, word: str, other: str) -> bool:
+        return self.texts.get(word.strip(_MARKS), 0) > self.texts.get(other.strip(_MARKS), 0)
+
+    def spelt(self, word: str) -> float:
         before, total = " ", 0.0
         step, known = self.step, self.alone if len(word) == 1 else self.log
         for c in word:
@@ -296,12 +329,15 @@ class Labeller:
         if all(c < "\x80" or _class(c) == " " for c in word):
             return {}  # spaces of another width are no sign
         lost = word.count("�")
-        base, out = self.clean(word), {}
+        base, out = self.clean(word, 1), {}
         if lost:
             out[-1] = lost * LOST_CLEAN
         for k, undo in enumerate(self.inverses):
             if (got := undo(word)) is not None:
-                gain = self.clean(got[0]) - BAD * got[1] - base
+                gain = self.clean(got[0]) - base
+                if self.clean.commoner(got[0], word):  # what the first count missed must not speak for itself
+                    gain = max(gain, self.clean.spelt(got[0]) - self.clean.spelt(word))
+                gain -= BAD * got[1]
                 if gain > -30:
                     out[k] = gain
         if len(self.memo) < MEMO:

@@ -166,3 +166,22 @@ def test_texts_are_restored(labelled):
 
 def test_no_texts(spark):
     assert encodings.label(spark.createDataFrame([], "doc_id bigint, text string"), "doc_id", "text").count() == 0
+
+
+def test_single_garbled_letter_in_common_words(spark):
+    """An apostrophe read as a letter: only the words tell it from Spanish and French ones."""
+    common = ["That’s the lattice’s limit", "Así el país elige la línea del límite", "l’étape d’après n’égale rien"]
+    rows = [(k, f"{common[k % 3]} {CLEAN['fr' if k % 2 else 'en']}") for k in range(300)]
+    rows += [(1000, "Note: That’s the lattice’s limit".encode("cp1252").decode("mac_roman")), (1001, "solo: país límite"), (1002, "Gülçin’s ítem")]
+    got = encodings.label(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", restored=True).collect()
+    assert [(r.doc_id, r.text) for r in got] == [(1000, "Note: That’s the lattice’s limit")]
+
+
+def test_known_words_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(encodings, "BUCKETS", 2)
+    monkeypatch.setattr(encodings, "WORDS", 3)
+    docs = spark.createDataFrame([(" ".join(f"é{chr(97 + k)}{j}" for k in range(20) for j in range(20)),)], "text string")
+    first = encodings.clean_counts(docs)
+    counts = encodings.clean_counts(docs, spark.sparkContext.broadcast([tuple(r) for r in first.collect()])).collect()
+    assert all(r.before for r in first.collect()) and sum(r.before == "" and r.c != "" for r in counts) <= 6
+    assert [r.n for r in counts if r.before == r.c == ""] == [400]
