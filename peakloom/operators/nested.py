@@ -9,7 +9,7 @@ batch goes in as records and comes out as rows of the wanted table, and only the
 columns named are read.
 
 Defined cases: a null, empty, truncated or malformed text gives no rows for its record
-(for a record split over several cells: if any of them is so); null members keep their
+(for a record split over several cells: if any of them is so, unless they are read apart); null members keep their
 position; a missing list has no rows; values that are no finite number are null in
 numeric columns; lists of uneven length are filled up with nulls; repeated records are
 kept as delivered; other columns of the input are ignored, whatever their names.
@@ -39,7 +39,8 @@ class Flat:
     leaf's own name, ``a[].b[]`` for both ``a[].b[].leaf`` and ``a[].b.leaf[]``; keys: one
     name for each repeated level; fields: output column to the leaf's name, or names with
     ``|`` between; numeric: fields read as numbers; complete: rows that lack one of the
-    fields are left out.
+    fields are left out; present: pattern of the start of paths, down to a member; one that
+    holds anything there is a row, its fields null if it has none of them.
     """
 
     ancestor: str
@@ -47,6 +48,7 @@ class Flat:
     fields: tuple[tuple[str, str], ...]
     numeric: tuple[str, ...] = ()
     complete: bool = False
+    present: str = ""
 
     def schema(self, record_key: str, nested: bool = False) -> str:
         kind = lambda c: "double" if c in self.numeric else "string"
@@ -59,8 +61,13 @@ class Flat:
 def _pivot(triples: list[tuple], spec: Flat, pattern: re.Pattern, names: dict[str, int]) -> Iterator[tuple[tuple, list]]:
     """Rows of one record as blocks: the key of the parent and, per field, either the list
     over the last ordinal or a dict by it."""
-    depth, groups = len(spec.keys), {}
+    depth, groups, present = len(spec.keys), {}, re.compile(spec.present) if spec.present else None
+    empty = [None] * (len(spec.fields) + (present is not None))
     for path, ords, value in triples:
+        if present and present.match(path):
+            slot = groups.setdefault(ords[: depth - 1], [*empty])
+            slot[-1] = slot[-1] or {}
+            slot[-1][ords[depth - 1]] = ""
         listed = isinstance(value, list)
         if len(ords) + listed != depth:
             continue
@@ -69,7 +76,7 @@ def _pivot(triples: list[tuple], spec: Flat, pattern: re.Pattern, names: dict[st
         if field is None or not pattern.fullmatch(path[: m.start()] + m[2]):
             continue
         parent, block = (ords, value) if listed else (ords[:-1], None)
-        slot = groups.setdefault(parent, [None] * len(spec.fields))
+        slot = groups.setdefault(parent, [*empty])
         if listed:
             slot[field] = block
         else:
@@ -91,13 +98,13 @@ def _columns(slot: list, spec: Flat) -> tuple[list[int], list[list]]:
     return at, [numbers([m.get(k, "") for k in at]) if c in spec.numeric else [m.get(k) for k in at] for (c, _), m in zip(spec.fields, maps)]
 
 
-def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat, nested: bool = False) -> DataFrame:
+def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat, nested: bool = False, apart: bool = False) -> DataFrame:
     """Rows of one flat table of every record of ``df``.
 
     cells: text columns to the path and ordinals at which their text hangs; several
     cells of a record are read as parts of one nested value.  nested: one row per parent,
     the last position and the fields as lists, so that what is computed per parent needs
-    no shuffle.
+    no shuffle.  apart: a broken cell takes no other cell's rows with it.
     """
     names = {leaf: k for k, (_, leaves) in enumerate(spec.fields) for leaf in leaves.split("|")}
     pattern, schema = re.compile(spec.ancestor), spec.schema(record_key, nested)
@@ -140,9 +147,13 @@ def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[in
                 return pa.RecordBatch.from_arrays([*heads, *made], schema=arrow)
 
             for rec, *own in zip(batch.column(record_key).to_pylist(), *texts):
-                try:
-                    triples = [t for (path, ords), text in zip(cells.values(), own) for t in scan(text, path, ords)]
-                except Broken:
+                triples, broken = [], False
+                for (path, ords), text in zip(cells.values(), own):
+                    try:
+                        triples += scan(text, path, ords)
+                    except Broken:
+                        broken = True
+                if broken and not apart:
                     continue
                 for parent, slot in _pivot(triples, spec, pattern, names):
                     at, block = _columns(slot, spec)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ ISOTOPES = Flat(
     fields=(("mz_start", "mz_start|l_mz_start"), ("mz_end", "mz_end|l_mz_end"), ("rt_start", "rt_start|l_rt_start"), ("rt_end", "rt_end|l_rt_end")),
     numeric=("mz_start", "mz_end", "rt_start", "rt_end"),
 )
+# also isotopes that have traces or anything else but no window
+ALL_ISOTOPES = replace(ISOTOPES, present=rf"{_ISOTOPES}\.|features\[\]\.(?:{'|'.join(TRACES)})\[\]\[\]")
 FEATURES = Flat(ancestor=r"features\[\]", keys=("feature_pos",), fields=(("openms_fid", "openms_fid"), ("charge", "charge")), numeric=("charge",))
 
 
@@ -32,8 +36,8 @@ def _cells(columns: tuple[str, ...]) -> dict[str, tuple[str, tuple[int, ...]]]:
     return {c: (f"features[].{c}", (0,)) for c in columns}
 
 
-def _both(spark: SparkSession, sf: str, columns: tuple[str, ...], spec: Flat) -> DataFrame:
-    exported = flatten(table(spark, sf, "feature_tsv"), "rec_id", _cells(columns), spec)
+def _both(spark: SparkSession, sf: str, columns: tuple[str, ...], spec: Flat, apart: bool = False) -> DataFrame:
+    exported = flatten(table(spark, sf, "feature_tsv"), "rec_id", _cells(columns), spec, apart=apart)
     delivered = flatten(table(spark, sf, "feature_batches").withColumnRenamed("batch_id", "rec_id"), "rec_id", {"payload": ("", ())}, spec)
     mark = lambda df, name: df.select(F.lit(name).alias("src_table"), "*")
     return mark(exported, "feature_tsv").unionByName(mark(delivered, "feature_batches"))
@@ -49,8 +53,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_isotopes(spark: SparkSession, sf: str) -> DataFrame:
-    """Isotope windows, child of p1_features by (src_table, rec_id, feature_pos)."""
-    return _both(spark, sf, ("l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end"), ISOTOPES)
+    """Isotopes with their windows, null where absent; child of p1_features by (src_table, rec_id, feature_pos), parent of the points."""
+    return _both(spark, sf, ("l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end", *TRACES), ALL_ISOTOPES, apart=True)
 
 
 def p1_features(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,13 +1,15 @@
 import json
 import math
+import os
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tests.oracle import SMALL
 
 from peakloom.functions.literals import Broken, number, scan
 from peakloom.operators.nested import Flat, flatten
-from peakloom.plans.records import FEATURES, ISOTOPES, POINTS, TRACES, _cells
+from peakloom.plans.records import ALL_ISOTOPES, FEATURES, ISOTOPES, POINTS, QUERIES, TRACES, _cells
 
 
 def test_scan_names_paths_and_positions():
@@ -93,3 +95,27 @@ def test_long_cells(spark):
     cell = "[[" + ",".join(["1.25"] * n) + "]]"
     df = flatten(spark.createDataFrame([(1, cell)], "k bigint, t string"), "k", {"t": ("a", ())}, Flat(r"\[\]\[\]|\[\]|", ("i", "p"), (("x", "a"),), ("x",), True))
     assert df.count() == n
+
+
+def test_isotopes_without_windows(spark):
+    trace = {"l_retention_times": [1], "l_mass_to_charges": [1], "l_intensities": [5]}
+    features = [
+        {"isotopes": [{"window": {"mz_start": 1.5}, "xic": trace}, {"xic": trace}, None, {"xic": [trace | {"l_intensities": 3}]}]},
+        {"l_retention_times": [[1], [], None], "l_mass_to_charges": [[1], [], None], "l_intensities": [[1], [], None]},
+        {"isotopes": {"4": {"xic": trace}}, "l_intensities": None},
+    ]
+    df = spark.createDataFrame([(1, json.dumps({"features": features}))], "rec_id bigint, payload string")
+    got = flatten(df, "rec_id", {"payload": ("", ())}, ALL_ISOTOPES).collect()
+    assert sorted((r.feature_pos, r.iso_pos, r.mz_start) for r in got) == [(0, 0, 1.5), (0, 1, None), (0, 3, None), (1, 0, None), (1, 1, None), (2, 4, None)]
+    cells = "rec_id bigint, l_mz_start string, l_mz_end string, l_intensities string"
+    df = spark.createDataFrame([(1, "[1, 2]", None, "[[1], [2], [3]]"), (2, "[1, 2", "['3']", ""), (3, None, "", "[[1")], cells)
+    got = flatten(df, "rec_id", _cells(("l_mz_start", "l_mz_end", "l_intensities")), ALL_ISOTOPES, apart=True).collect()
+    assert sorted((r.rec_id, r.iso_pos, r.mz_start, r.mz_end) for r in got) == [(1, 0, 1.0, None), (1, 1, 2.0, None), (1, 2, None, None), (2, 0, None, 3.0)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables here")
+def test_points_have_isotopes_and_isotopes_features(spark):
+    found, isotopes, features = (QUERIES[q](spark, SMALL) for q in ("p1_found", "p1_isotopes", "p1_features"))
+    keys = ["src_table", "rec_id", "feature_pos", "iso_pos"]
+    assert found.join(isotopes, keys, "left_anti").count() == 0 and isotopes.join(features, keys[:3], "left_anti").count() == 0
+    assert isotopes.groupBy(*keys).count().where("count > 1").count() == 0
