@@ -24,16 +24,18 @@ def quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFra
     up = one.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = rows.groupBy("g", "cell").agg(F.count("*").alias("n"))
     cells = cells.withColumn("start", F.sum("n").over(up) - F.col("n")).withColumn("total", F.sum("n").over(one))
-    points = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(q)).alias("q")) for k, q in enumerate(qs)])
-    # per wanted quantile the ranks on both sides of it, and the share of the upper
-    ranks = F.transform(points, lambda p: F.struct(p.k.alias("k"), p.q.alias("q"), (p.q * (F.col("total") - 1)).alias("at")))
-    inside = lambda r: (F.floor(r.at) < F.col("start") + F.col("n")) & (F.ceil(r.at) >= F.col("start"))
-    cells = cells.withColumn("want", F.filter(ranks, inside)).where(F.size("want") > 0)
-    values = rows.join(cells.select("g", "cell", "start"), ["g", "cell"]).groupBy("g", "cell", "start", "x").agg(F.count("*").alias("n"))
+    # per wanted quantile the ranks on both sides of it, laid between the starts of the cells to find the cell of each
+    asked = cells.groupBy("g").agg(F.max("total").alias("total")).select("g", "total", F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("k", "q"))
+    asked = asked.select("g", "k", "q", (F.col("q") * (F.col("total") - 1)).alias("at"))
+    asked = asked.withColumn("pos", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
+    along = one.orderBy("pos", F.col("k").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = cells.select("g", "cell", "start", F.col("start").alias("pos")).unionByName(asked, allowMissingColumns=True)
+    placed = placed.select("g", "k", "q", "at", *[F.last(c, ignorenulls=True).over(along).alias(c) for c in ("cell", "start")])
+    wanted = placed.where("k IS NOT NULL").distinct()
+    values = rows.join(wanted.select("g", "cell", "start").distinct(), ["g", "cell"]).groupBy("g", "cell", "start", "x").agg(F.count("*").alias("n"))
     in_cell = Window.partitionBy("g", "cell").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     values = values.withColumn("until", F.col("start") + F.sum("n").over(in_cell)).withColumn("from", F.col("until") - F.col("n"))
-    wanted = cells.select("g", "cell", F.explode("want").alias("w")).select("g", "cell", F.col("w.k").alias("k"), F.col("w.q").alias("q"), F.col("w.at").alias("at"))
-    hit = values.join(wanted, ["g", "cell"]).where((F.floor("at") < F.col("until")) & (F.ceil("at") >= F.col("from")))
+    hit = values.join(wanted.drop("start"), ["g", "cell"]).where((F.floor("at") < F.col("until")) & (F.ceil("at") >= F.col("from")))
     low = F.max(F.when((F.floor("at") >= F.col("from")) & (F.floor("at") < F.col("until")), F.col("x")))
     high = F.max(F.when((F.ceil("at") >= F.col("from")) & (F.ceil("at") < F.col("until")), F.col("x")))
     out = hit.groupBy("g", "k", "q", "at").agg(low.alias("low"), high.alias("high"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from peakloom.plans.records import ISOTOPES, POINTS, TRACES
 from peakloom.session import table
 
 QS = [k / 100 for k in range(101)]
+CURVE_QS = np.linspace(0, 1, 1000).tolist()  # the points of the workflow's own cutoff plot
 UPTO = 100
 SHOWN = 100
 
@@ -96,6 +98,12 @@ def cutoff_curve(spark, sf):
     return quantiles(rows, "run", "intensitysum", QS).select("run", "q", F.round("value", 6).alias("intensity"))
 
 
+def cutoff_curve_1000(spark, sf):
+    """Intensity at the 1,000 quantiles of every run that the workflow plots."""
+    rows = _features(spark, sf).where(usable(F.col("intensitysum")))
+    return quantiles(rows, "run", "intensitysum", CURVE_QS).select("run", "q", F.round("value", 6).alias("intensity"))
+
+
 def _psms(spark, sf):
     return table(spark, sf, "identifications").dropDuplicates(["psm_id"])
 
@@ -322,7 +330,7 @@ def rt_alignment_points(spark, sf):
     return a.where("run <> ref").join(ref, ["plain_peptide", "charge"]).select("run", "plain_peptide", "charge", F.col("rt").alias("original_rt"), "transformed_rt")
 
 
-_NAMES = """trapz_auc_hof trapz_auc_window intensity_rollup hull_boxes feature_hills cutoff_filter_t cutoff_filter_q cutoff_curve
+_NAMES = """trapz_auc_hof trapz_auc_window intensity_rollup hull_boxes feature_hills cutoff_filter_t cutoff_filter_q cutoff_curve cutoff_curve_1000
 interval_join_ms2 feature_scan_lists psm_in_scan_list first_wins_peptides unassigned_psms run_length_groups consensus_lookup coverage_anti
 global_bounds consensus_pivot_full consensus_pivot_reduced consensus_pivot_minimal unpivot_intensities missing_histogram missing_by_ident survival_curves tradeoff_points file_keys channel_joins
 group_tuple union_sources xic_extraction consensus_linking rt_alignment_points""".split()

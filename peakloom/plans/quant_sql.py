@@ -1,5 +1,7 @@
 """SQL for the queries of ``quant``, for an engine that casts text to nested lists."""
 
+import numpy as np
+
 from peakloom.operators.consensus import FULL, MINIMAL, REDUCED
 
 _LIST = (
@@ -66,6 +68,8 @@ def _wide(headers: tuple[str, ...]) -> str:
 
 _QS = ", ".join(str(k / 100) for k in range(101))
 
+_CURVE_QS = ", ".join(f"'{q!r}'::DOUBLE" for q in np.linspace(0, 1, 1000).tolist())
+
 SQL = {
     "trapz_auc_hof": _PARTS + "SELECT rec_id, iso_pos, n, round(auc, 6) AS auc FROM auc",
     "trapz_auc_window": _PARTS + "SELECT rec_id, iso_pos, n, round(auc, 6) AS auc FROM auc",
@@ -83,6 +87,9 @@ SELECT run, feat_id, (k - 1)::INT AS pos, hills[k] AS hill_idx FROM (SELECT *, u
     "cutoff_curve": _FEATURES
     + f""", c AS (SELECT run, quantile_cont(intensitysum, [{_QS}]) AS v FROM u GROUP BY run)
 SELECT run, (k - 1) / 100.0::DOUBLE AS q, round(v[k], 6) AS intensity FROM (SELECT *, unnest(range(1, 102)) AS k FROM c)""",
+    "cutoff_curve_1000": _FEATURES
+    + f""", q AS (SELECT [{_CURVE_QS}] AS qs), c AS (SELECT run, quantile_cont(intensitysum, [{_CURVE_QS}]) AS v FROM u GROUP BY run)
+SELECT run, qs[k] AS q, round(v[k], 6) AS intensity FROM (SELECT *, unnest(range(1, 1001)) AS k FROM c, q)""",
     "interval_join_ms2": _BOXES + "SELECT * FROM hit",
     "feature_scan_lists": _BOXES + "SELECT b.run, b.feat_id, coalesce(string_agg(scan::VARCHAR, ',' ORDER BY ordinal, scan), '') AS scans FROM b LEFT JOIN hit ON b.run = hit.run AND b.feat_id = hit.feat_id GROUP BY b.run, b.feat_id",
     "psm_in_scan_list": _ATTACHED + "SELECT rec_id, psm_id FROM att",

@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from tests.oracle import SMALL, rows
 
@@ -26,3 +27,9 @@ def test_sql_only_for_queries():
 def test_plans_have_no_nested_loops(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables here")
+def test_curve_has_the_plotted_points(spark):
+    rows = QUERIES["cutoff_curve_1000"](spark, SMALL).groupBy("run").agg({"q": "collect_set"}).collect()
+    assert rows and all(sorted(r[1]) == np.linspace(0, 1, 1000).tolist() for r in rows)
