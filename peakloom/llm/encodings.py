@@ -61,6 +61,8 @@ _WORD = re.compile(r"(?<![^ \n\r\t])[^ \n\r\t\x80-\U0010ffff]*+[^\x00-\x7f][^ \n
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
 _ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|.)", re.S)
+_HALVES = re.compile("[\ud800-\udbff][\udc00-\udfff]|[\ud800-\udfff]")
+HALF = "\uffff"  # stands for half a surrogate pair, which is no character; not U+FFFD, which would mark the text as garbled
 
 
 def char_class(c: str) -> str:
@@ -198,18 +200,25 @@ def inverses() -> list[Inverse]:
     return [Inverse("utf-8", c) for c in UTF8_READ_AS] + twice + [Inverse(w, r) for w, r in SINGLE]
 
 
+def _joined(text: str) -> str:
+    """Escaped pairs as one character, lone halves as ``HALF``."""
+    if text.isascii():
+        return text
+    return _HALVES.sub(lambda m: m[0].encode("utf-16", "surrogatepass").decode("utf-16") if len(m[0]) == 2 else HALF, text)
+
+
 def strings(text: str) -> list[str]:
     """The strings to judge: of a JSON notebook its decoded ones, else the text itself."""
     if text.lstrip()[:1] == "{":
         try:
             out, todo = [], [json.loads(text)]
         except (ValueError, RecursionError):
-            return [_ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else m[0], text)] if "\\u" in text else [text]
+            return [_joined(_ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else m[0], text))] if "\\u" in text else [text]
         while todo:
             x = todo.pop()
             if isinstance(x, str):
                 if not x.isascii():
-                    out.append(x)
+                    out.append(_joined(x))
             elif isinstance(x, dict):
                 todo.extend(reversed(x.values()))
             elif isinstance(x, list):
@@ -442,9 +451,9 @@ def _rebuilt(text: str, fixed: dict[str, str]) -> str:
 
     def put(x: object) -> object:
         if isinstance(x, str):
-            return fixed.get(x, x)
+            return fixed.get(own := _joined(x), own)
         if isinstance(x, dict):
-            return {k: put(v) for k, v in x.items()}
+            return {_joined(k): put(v) for k, v in x.items()}
         return [put(v) for v in x] if isinstance(x, list) else x
 
     return json.dumps(put(whole), ensure_ascii=False)

@@ -185,3 +185,14 @@ def test_known_words_are_bounded(spark, monkeypatch):
     counts = encodings.clean_counts(docs, spark.sparkContext.broadcast([tuple(r) for r in first.collect()])).collect()
     assert all(r.before for r in first.collect()) and sum(r.before == "" and r.c != "" for r in counts) <= 6
     assert [r.n for r in counts if r.before == r.c == ""] == [400]
+
+
+def test_halves_of_surrogate_pairs(spark):
+    garbled = "l’élève révèle".encode().decode("latin-1")
+    book = '{"cells": [{"source": "café \\ud83d né", "more": "%s", "\\ud83d": "\\ude00"}]}'
+    rows = [(1, book % "plain"), (2, book % garbled), (3, '{broken "caf\\u00e9 \\ud83d\\ude00 \\ude00"'), (4, '{broken "caf\\u00e9 \\ud83d\\ude00 \\ud83d ' + garbled)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in encodings.label(df, "doc_id", "text", restored=True).collect()}
+    assert set(got) == {2, 4} and json.loads(got[2])["cells"][0]["source"] == f"café {encodings.HALF} né" and "😀" in got[4]
+    assert encodings.label(df, "doc_id", "text").count() == 2
+    assert encodings.strings(rows[2][1]) == [f'{{broken "café 😀 {encodings.HALF}"']
