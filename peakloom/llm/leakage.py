@@ -43,6 +43,9 @@ _MARKS = {
     "script": re.compile(r"^# %%.*$", re.M),
 }
 
+_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|(.))", re.S)
+_BLANKS = dict.fromkeys("nrtbf", "\n")
+
 
 def words(text: str) -> list[bytes]:
     """Maximal runs of a-z and 0-9 after lower-casing."""
@@ -53,21 +56,34 @@ def _joined(x: object) -> str:
     return x if isinstance(x, str) else "".join(s for s in x if isinstance(s, str)) if isinstance(x, list) else ""
 
 
+def _texts(x: object) -> list[str]:
+    """Texts in nested data; the strings of a list are lines of one text."""
+    if isinstance(x, dict):
+        return [t for v in x.values() for t in _texts(v)]
+    return [_joined(x), *(t for v in x if isinstance(v, (dict, list)) for t in _texts(v))] if isinstance(x, list) else [_joined(x)]
+
+
+def _unescaped(text: str) -> str:
+    """A notebook's raw text without its JSON escapes."""
+    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else _BLANKS.get(m[2], m[2]), text) if text.lstrip()[:1] == "{" else text
+
+
 def cells(text: str, layout: str | None) -> list[str]:
     """Sources and outputs of a document, each on its own."""
     if layout in _MARKS:
         return _MARKS[layout].split(text)
     try:
         book = json.loads(text)
-        out = []
+        out, errors = [], []
         for cell in book["cells"]:
             out.append(_joined(cell.get("source")))
             for o in cell.get("outputs") or []:
                 out += [_joined(o.get("text")), _joined([f"{line}\n" for line in o.get("traceback") or [] if isinstance(line, str)])]
-                out += [_joined(v) for v in (o.get("data") or {}).values()]
-        return out
+                out += _texts(o.get("data") or {})
+                errors += _texts(o.get("evalue"))
+        return out + errors
     except (ValueError, KeyError, TypeError, AttributeError, RecursionError):
-        return [text]
+        return [_unescaped(text)]
 
 
 def suffixes(seq: np.ndarray) -> np.ndarray:

@@ -196,3 +196,17 @@ def test_halves_of_surrogate_pairs(spark):
     assert set(got) == {2, 4} and json.loads(got[2])["cells"][0]["source"] == f"café {encodings.HALF} né" and "😀" in got[4]
     assert encodings.label(df, "doc_id", "text").count() == 2
     assert encodings.strings(rows[2][1]) == [f'{{broken "café 😀 {encodings.HALF}"']
+
+
+def test_leaks_in_errors_nested_data_and_broken_notebooks(spark):
+    item = "a b c d e f"
+    output = lambda o: json.dumps({"cells": [{"source": "x", "outputs": [o]}]})
+    docs = [
+        (1, output({"evalue": item}), "ipynb"),
+        (2, output({"data": {"application/json": {"rows": [{"note": item}, 3]}, "text/plain": "y"}}), "ipynb"),
+        (3, '{"cells": [{"source": ["a b c\\n", "d\\te f"', "ipynb"),
+        (4, r"print('a b c\nd e f')", None),
+    ]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string, layout string"), spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    got = leakage.spans(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 6).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 3]
