@@ -21,11 +21,16 @@ _STRING = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'", re.S)
 _ATOM = re.compile(r"[^\s\[\](){},:\"']+")
 _SCALAR_CALL = re.compile(r"\b(?:np|numpy)\.\w+\(([^()\[\]]*)\)")
 _CLOSES = {"[": "]", "(": ")", "{": "}"}
-_NUMBER_KEY = re.compile(r"\d{1,9}")
+KEY_DIGITS = 18  # digits of a number key: what a 64-bit ordinal holds
+MISSING, EARLY, MALFORMED, KEY = "missing", "ends early", "malformed", "key too large"
 
 
 class Broken(ValueError):
-    """The text ends early or is not a nested literal."""
+    """The text is no nested literal; its one argument says why."""
+
+
+def _at(text: str, at: int) -> Broken:
+    return Broken(MALFORMED if text[at:].strip() else EARLY)
 
 
 def _text(token: str) -> str:
@@ -57,105 +62,131 @@ def _scalars(text: str, start: int, closer: str) -> tuple[list[str], int] | None
             return None
         parts = [p[1:-1] for p in parts]
     if m[1] != closer:
-        raise Broken(text[-40:])
+        raise Broken(MALFORMED)
     return parts, m.end()
 
 
-def _value(text: str, at: int, path: str, ords: tuple, out: list) -> int:
-    at = _SPACE.match(text, at).end()
-    c = text[at : at + 1]
-    if c in ("[", "("):
-        at += 1
-        if flat := _scalars(text, at, _CLOSES[c]):
-            out.append((path + "[]", ords, flat[0]))
-            return flat[1]
-        return _members(text, at, _CLOSES[c], path + "[]", ords, out)
-    if c == "{":
-        return _fields(text, at + 1, path, ords, out)
-    if c in ("'", '"') and c:
-        m = _STRING.match(text, at)
-        if not m:
-            raise Broken(text[-40:])
-        out.append((path, ords, _text(m[0])))
-        return m.end()
-    m = _ATOM.match(text, at)
-    if not m:
-        raise Broken(text[-40:])
-    if text[m.end() : m.end() + 1] != "(":
-        out.append((path, ords, m[0]))
-        return m.end()
-    at = _value(text, m.end() + 1, path, ords, out)  # a call such as array([...]): its first argument
-    close = text.find(")", at)
-    if close < 0:
-        raise Broken(text[-40:])
-    return close + 1
-
-
-def _members(text: str, at: int, closer: str, path: str, ords: tuple, out: list) -> int:
-    k = 0
-    while True:
-        at = _SPACE.match(text, at).end()
-        if text[at : at + 1] == closer:
-            return at + 1
-        at = _value(text, at, path, (*ords, k), out)
-        k += 1
-        at = _SPACE.match(text, at).end()
-        if text[at : at + 1] == ",":
-            at += 1
-        elif text[at : at + 1] != closer:
-            raise Broken(text[-40:])
+def scan(text: str | None, path: str = "", ords: tuple = ()) -> list[tuple]:
+    """Triples of one text; raises ``Broken`` if it is null, empty, ends early or is malformed.
 
+    Open lists, objects and calls lie on a stack of this function's own, so a record may be nested
+    as deeply as it likes; a path is put together only where a value is met.
+    """
+    if text is None or not text.strip():
+        raise Broken(MISSING)
+    if "np." in text or "numpy." in text:
+        text = _SCALAR_CALL.sub(r"\1", text)
+    out: list[tuple] = []
+    names, places = [path], [*ords]  # pieces of the current path, and the ordinals of its repeated levels
+    stack: list[str] = []  # what closes each open level: ] or ) of a list, } of an object, ! of a call
+    at = 0
 
-def _fields(text: str, at: int, path: str, ords: tuple, out: list) -> int:
-    while True:
-        at = _SPACE.match(text, at).end()
-        if text[at : at + 1] == "}":
-            return at + 1
+    def here() -> str:
+        return "".join(names).removeprefix(".")
+
+    def key(at: int) -> int:
+        """The key of an object's member, and where its value begins."""
         m = _STRING.match(text, at) or _ATOM.match(text, at)
         if not m:
-            raise Broken(text[-40:])
-        key = _text(m[0]) if m[0][0] in "'\"" else m[0]
+            raise _at(text, at)
+        name = _text(m[0]) if m[0][0] in "'\"" else m[0]
         at = _SPACE.match(text, m.end()).end()
         if text[at : at + 1] != ":":
-            raise Broken(text[-40:])
-        if _NUMBER_KEY.fullmatch(key):
-            at = _value(text, at + 1, path + "{}", (*ords, int(key)), out)
+            raise _at(text, at)
+        if name.isascii() and name.isdigit():
+            if len(name) > KEY_DIGITS:
+                raise Broken(KEY)
+            names.append("{}")
+            places.append(int(name))
         else:
-            at = _value(text, at + 1, f"{path}.{key}" if path else key, ords, out)
+            names.append("." + name)
+        return at + 1
+
+    while True:
         at = _SPACE.match(text, at).end()
-        if text[at : at + 1] == ",":
+        c = text[at : at + 1]
+        if c and c in "[(":
             at += 1
-        elif text[at : at + 1] != "}":
-            raise Broken(text[-40:])
-
-
-def scan(text: str | None, path: str = "", ords: tuple = ()) -> list[tuple]:
-    """Triples of one text; raises ``Broken`` if it is null, empty, ends early or is malformed."""
-    if text is None or not text.strip():
-        raise Broken("empty")
-    if "np." in text or "numpy." in text:
-        text = _SCALAR_CALL.sub(r"\1", text)
-    out: list[tuple] = []
-    try:
-        end = _value(text, 0, path, ords, out)
-    except RecursionError as e:
-        raise Broken("nested too deeply") from e
-    if text[end:].strip():
-        raise Broken(text[-40:])
-    return out
+            if flat := _scalars(text, at, _CLOSES[c]):
+                out.append((here() + "[]", tuple(places), flat[0]))
+                at = flat[1]
+            else:
+                stack.append(_CLOSES[c])
+                names.append("[]")
+                places.append(0)
+                at = _SPACE.match(text, at).end()
+                if text[at : at + 1] != _CLOSES[c]:
+                    continue
+        elif c == "{":
+            at = _SPACE.match(text, at + 1).end()
+            stack.append("}")
+            if text[at : at + 1] != "}":
+                at = key(at)
+                continue
+            names.append(".")
+        elif c and c in "'\"":
+            m = _STRING.match(text, at)
+            if not m:
+                raise Broken(EARLY)
+            out.append((here(), tuple(places), _text(m[0])))
+            at = m.end()
+        else:
+            m = _ATOM.match(text, at)
+            if not m:
+                raise _at(text, at)
+            at = m.end()
+            if text[at : at + 1] == "(":  # a call such as array([...]): its first argument
+                stack.append("!")
+                at += 1
+                continue
+            out.append((here(), tuple(places), m[0]))
+        # a value has ended: close what ends with it, until a further member follows
+        while stack:
+            closer = stack[-1]
+            at = _SPACE.match(text, at).end()
+            c = text[at : at + 1]
+            if closer == "!":
+                at = text.find(")", at) + 1
+                if not at:
+                    raise Broken(EARLY)
+                stack.pop()
+                continue
+            if c == ",":
+                at = _SPACE.match(text, at + 1).end()
+                c = text[at : at + 1]
+                if c != closer:
+                    if closer == "}":
+                        if names.pop() == "{}":
+                            places.pop()
+                        at = key(at)
+                    else:
+                        places[-1] += 1
+                    break
+            elif c != closer:
+                raise _at(text, at)
+            at += 1
+            stack.pop()
+            if names.pop() in ("[]", "{}"):
+                places.pop()
+        else:
+            if text[at:].strip():
+                raise Broken(MALFORMED)
+            return out
 
 
 def number(text: str | None) -> float:
-    """The finite number a scalar text holds, else NaN."""
+    """The finite number a scalar text holds, else NaN; digits grouped by ``_`` are no number."""
     try:
         x = float(text)
     except (TypeError, ValueError):
         return math.nan
-    return x if math.isfinite(x) else math.nan
+    return x if math.isfinite(x) and "_" not in text else math.nan
 
 
 def numbers(texts: list[str]) -> list[float]:
     try:
-        return list(map(float, texts))
-    except ValueError:
-        return [number(t) for t in texts]
+        if "_" not in "".join(texts):
+            return list(map(float, texts))
+    except (TypeError, ValueError):
+        pass
+    return [number(t) for t in texts]

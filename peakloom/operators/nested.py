@@ -12,7 +12,10 @@ Defined cases: a null, empty, truncated or malformed text gives no rows for its
 (for a record split over several cells: if any of them is so, unless they are read apart); null members keep their
 position; a missing list has no rows; values that are no finite number are null in
 numeric columns; lists of uneven length are filled up with nulls; repeated records are
-kept as delivered; other columns of the input are ignored, whatever their names.
+kept as delivered; other columns of the input are ignored, whatever their names.  A record
+may be nested as deeply as it likes.  An object keyed by numbers is a repeated level; a key
+of more than ``KEY_DIGITS`` digits, which is no 64-bit number, makes the text malformed.
+``rejected`` lists every text that gave no rows and why.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 from peakloom.functions.literals import Broken, numbers, scan
 
@@ -50,12 +56,12 @@ class Flat:
     complete: bool = False
     present: str = ""
 
-    def schema(self, record_key: str, nested: bool = False) -> str:
-        kind = lambda c: "double" if c in self.numeric else "string"
-        wrap = lambda t: f"array<{t}>" if nested else t
-        *parents, last = self.keys
-        keys = [*(f"`{k}` int" for k in parents), f"`{last}` {wrap('int')}"]
-        return ", ".join([f"`{record_key}` bigint", *keys, *(f"`{c}` {wrap(kind(c))}" for c, _ in self.fields)])
+    def schema(self, record_key: str, nested: int = 0) -> pa.Schema:
+        def wrap(t: pa.DataType, times: int) -> pa.DataType:
+            return wrap(pa.list_(t), times - 1) if times > 0 else t
+
+        keys = [(k, wrap(pa.int64(), nested - n)) for n, k in enumerate(reversed(self.keys))][::-1]
+        return pa.schema([(record_key, pa.int64()), *keys, *((c, wrap(pa.float64() if c in self.numeric else pa.string(), nested)) for c, _ in self.fields)])
 
 
 def _pivot(triples: list[tuple], spec: Flat, pattern: re.Pattern, names: dict[str, int]) -> Iterator[tuple[tuple, list]]:
@@ -98,35 +104,41 @@ def _columns(slot: list, spec: Flat) -> tuple[list[int], list[list]]:
     return at, [numbers([m.get(k, "") for k in at]) if c in spec.numeric else [m.get(k) for k in at] for (c, _), m in zip(spec.fields, maps)]
 
 
-def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat, nested: bool = False, apart: bool = False) -> DataFrame:
+def _lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
+
+
+def flatten(
+    df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[int, ...]]], spec: Flat, nested: int = 0, apart: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows of one flat table of every record of ``df``.
 
     cells: text columns to the path and ordinals at which their text hangs; several
-    cells of a record are read as parts of one nested value.  nested: one row per parent,
-    the last position and the fields as lists, so that what is computed per parent needs
-    no shuffle.  apart: a broken cell takes no other cell's rows with it.
+    cells of a record are read as parts of one nested value.  nested: how many of the last
+    levels are folded into lists, so that what is computed per parent (1) or grandparent (2)
+    needs no shuffle.  apart: a broken cell takes no other cell's rows with it.  carry: columns
+    of the record that its rows repeat.
     """
     names = {leaf: k for k, (_, leaves) in enumerate(spec.fields) for leaf in leaves.split("|")}
-    pattern, schema = re.compile(spec.ancestor), spec.schema(record_key, nested)
-    wrap = pa.list_ if nested else lambda t: t
-    arrow = pa.schema([(record_key, pa.int64()), *((k, pa.int32()) for k in spec.keys[:-1]), (spec.keys[-1], wrap(pa.int32())), *((c, wrap(pa.float64() if c in spec.numeric else pa.string())) for c, _ in spec.fields)])
-    depth = len(spec.keys)
+    pattern, arrow, depth = re.compile(spec.ancestor), spec.schema(record_key, nested), len(spec.keys)
+    own = StructType([df.schema[c] for c in carry])
+    if clash := set(carry) & set(arrow.names):
+        raise ValueError(f"carried columns have names of the table's own: {sorted(clash)}")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [batch.column(c).to_pylist() for c in cells]
-            records, counts, parents, places = [], [], [], []
+            record_ids, carried = batch.column(record_key), [batch.column(c) for c in carry]
+            blocks: list[tuple[int, int, tuple]] = []  # row of the batch, size, key of the parent
+            places: list[int] = []
             values: list[list] = [[] for _ in spec.fields]
-            held = 0
 
             def out() -> pa.RecordBatch:
-                sizes = np.array(counts, dtype=np.int64)
-                owner = np.repeat(np.arange(len(counts)), sizes)
-                keys = np.array(parents, dtype=np.int32).reshape(len(counts), depth - 1)
-                place = np.array(places, dtype=np.int32)
-                record = pa.array(records, pa.int64())
+                sizes = np.array([b[1] for b in blocks], dtype=np.int64)
+                row = np.array([b[0] for b in blocks], dtype=np.int64)
+                keys = np.array([b[2] for b in blocks], dtype=np.int64).reshape(len(blocks), depth - 1)
+                owner = np.repeat(np.arange(len(blocks)), sizes)
                 columns = [np.array(v, dtype=np.float64) if c in spec.numeric else v for (c, _), v in zip(spec.fields, values)]
-                keep = np.ones(len(place), dtype=bool)
+                keep = np.ones(len(places), dtype=bool)
                 for (c, _), v in zip(spec.fields, columns):
                     if c in spec.numeric:
                         v[~np.isfinite(v)] = np.nan
@@ -135,20 +147,35 @@ def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[in
                     elif spec.complete:
                         keep &= np.array([x is not None for x in v], dtype=bool)
                 made = [pa.array(v, pa.float64(), from_pandas=True) if c in spec.numeric else pa.array(v, pa.string()) for (c, _), v in zip(spec.fields, columns)]
-                kept = pa.array(np.flatnonzero(keep))
-                made = [c.take(kept) for c in (pa.array(place), *made)]
-                owner = owner[keep]
+                at = np.flatnonzero(keep)
+                owner = owner[at]
+                if nested > 1:  # blocks of one grandparent side by side, in order
+                    order = np.lexsort([*keys.T[::-1], row])
+                    nth = np.empty(len(order), dtype=np.int64)
+                    nth[order] = np.arange(len(order))
+                    sort = np.argsort(nth[owner], kind="stable")
+                    at, owner = at[sort], nth[owner][sort]
+                    row, keys = row[order], keys[order]
+                made = [c.take(pa.array(at)) for c in (pa.array(places, pa.int64()), *made)]
+                heads = []
                 if nested:
-                    sizes = np.bincount(owner, minlength=len(counts))
+                    sizes = np.bincount(owner, minlength=len(row))
                     owner = np.flatnonzero(sizes)
-                    starts = pa.array(np.concatenate([[0], np.cumsum(sizes[owner])]), pa.int32())
-                    made = [pa.ListArray.from_arrays(starts, c) for c in made]
-                heads = [record.take(pa.array(owner)), *(pa.array(keys[owner, k]) for k in range(depth - 1))]
-                return pa.RecordBatch.from_arrays([*heads, *made], schema=arrow)
-
-            for rec, *own in zip(batch.column(record_key).to_pylist(), *texts):
+                    made = [_lists(np.concatenate([[0], np.cumsum(sizes[owner])]), c) for c in made]
+                if nested > 1:
+                    line = np.column_stack([row[owner], keys[owner, : depth - 2]])
+                    first = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]).any(axis=1)])) if len(line) else np.array([], dtype=np.int64)
+                    starts = np.concatenate([first, [len(line)]])
+                    heads = [_lists(starts, pa.array(keys[owner, depth - 2]))]
+                    made = [_lists(starts, c) for c in made]
+                    owner = owner[first]
+                heads = [*(pa.array(keys[owner, k]) for k in range(depth - 1 - len(heads))), *heads]
+                of = pa.array(row[owner])
+                return pa.RecordBatch.from_arrays([record_ids.take(of), *heads, *made, *(c.take(of) for c in carried)], names=[*arrow.names, *carry])
+
+            for k, texts in enumerate(zip(*(batch.column(c).to_pylist() for c in cells))):
                 triples, broken = [], False
-                for (path, ords), text in zip(cells.values(), own):
+                for (path, ords), text in zip(cells.values(), texts):
                     try:
                         triples += scan(text, path, ords)
                     except Broken:
@@ -157,18 +184,37 @@ def flatten(df: DataFrame, record_key: str, cells: dict[str, tuple[str, tuple[in
                     continue
                 for parent, slot in _pivot(triples, spec, pattern, names):
                     at, block = _columns(slot, spec)
-                    records.append(rec)
-                    counts.append(len(at))
-                    parents.append(parent)
+                    blocks.append((k, len(at), parent))
                     places += at
-                    held += len(at)
                     for v, b in zip(values, block):
                         v += b
-                if held > 200_000:
+                if len(places) > 200_000:
                     yield out()
-                    records, counts, parents, places, held = [], [], [], [], 0
-                    values = [[] for _ in spec.fields]
-            if held:
+                    blocks.clear()
+                    places.clear()
+                    for v in values:
+                        v.clear()
+            if places:
                 yield out()
 
-    return df.select(record_key, *cells).mapInArrow(rows, schema)
+    inputs = dict.fromkeys([*cells, *carry])
+    return df.select(F.col(record_key).cast("bigint").alias(record_key), *inputs).mapInArrow(rows, StructType([*from_arrow_schema(arrow), *own]))
+
+
+def rejected(df: DataFrame, record_key: str, cells: tuple[str, ...]) -> DataFrame:
+    """(record_key, cell, reason) of every cell that cannot be read: missing, ends early, malformed, or keyed by too large a number.
+    What ``flatten`` leaves out is all of it."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for c in cells:
+                for rec, text in zip(batch.column(record_key).to_pylist(), batch.column(c).to_pylist()):
+                    try:
+                        scan(text)
+                    except Broken as e:
+                        found.append((rec, c, e.args[0]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.string(), pa.string()))], [record_key, "cell", "reason"])
+
+    return df.select(F.col(record_key).cast("bigint").alias(record_key), *cells).mapInArrow(rows, f"`{record_key}` bigint, cell string, reason string")

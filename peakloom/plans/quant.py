@@ -22,14 +22,14 @@ UPTO = 100
 SHOWN = 100
 
 
-def exported_points(spark: SparkSession, sf: str, nested: bool = False) -> DataFrame:
+def exported_points(spark: SparkSession, sf: str, nested: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
     cells = {c: (f"features[].{c}", (0,)) for c in TRACES}
-    return flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, POINTS, nested)
+    return flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, POINTS, nested, carry=carry)
 
 
 def traces(spark: SparkSession, sf: str) -> DataFrame:
     """(rec_id, iso_pos, retention_time, mass_to_charge, intensity) with lists in order of position."""
-    return exported_points(spark, sf, nested=True)
+    return exported_points(spark, sf, nested=1)
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:

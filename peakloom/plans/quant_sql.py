@@ -4,11 +4,11 @@ import numpy as np
 
 from peakloom.operators.consensus import FULL, MINIMAL, REDUCED
 
-_LIST = (
+LIST = (
     "try_cast(regexp_replace(regexp_replace(replace(translate(regexp_replace(regexp_replace({0}, '(?:np|numpy)\\.float64\\(([^()]*)\\)', '\\1', 'g'),"
     " 'array\\((\\[[^\\[\\]]*\\])\\)', '\\1', 'g'), '()', '[]'), '''', ''), ',\\s*\\]', ']', 'g'), 'None|null|nan|NaN', 'NULL', 'g') AS DOUBLE[][])"
 )
-POINTS = f"""WITH l AS (SELECT rec_id, run, {_LIST.format("l_retention_times")} AS t, {_LIST.format("l_mass_to_charges")} AS m, {_LIST.format("l_intensities")} AS y FROM feature_tsv),
+POINTS = f"""WITH l AS (SELECT rec_id, run, {LIST.format("l_retention_times")} AS t, {LIST.format("l_mass_to_charges")} AS m, {LIST.format("l_intensities")} AS y FROM feature_tsv),
 i AS (SELECT rec_id, run, k - 1 AS iso_pos, t[k] AS t, m[k] AS m, y[k] AS y
   FROM (SELECT *, unnest(range(1, least(len(t), len(m), len(y)) + 1)) AS k FROM l WHERE t IS NOT NULL AND m IS NOT NULL AND y IS NOT NULL)),
 pts AS (SELECT rec_id, run, iso_pos::INT AS iso_pos, (k - 1)::INT AS point_pos, t[k] AS rt, m[k] AS mz, y[k] AS y

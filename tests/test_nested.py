@@ -7,8 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tests.oracle import SMALL
 
-from peakloom.functions.literals import Broken, number, scan
-from peakloom.operators.nested import Flat, flatten
+from peakloom.functions.literals import Broken, number, numbers, scan
+from peakloom.operators.nested import Flat, flatten, rejected
 from peakloom.plans.records import ALL_ISOTOPES, FEATURES, ISOTOPES, POINTS, QUERIES, TRACES, _cells
 
 
@@ -32,6 +32,31 @@ def test_writers_agree(text):
     assert [(p, o, [number(v) if not math.isnan(number(v)) else None for v in vs]) for p, o, vs in got] == [("[][]", (0,), [1.5, None]), ("[][]", (1,), [2.0])]
 
 
+def test_depth_has_no_limit():
+    deep = scan("[" * 5000 + "1, [2]" + "]" * 5000)
+    assert [(len(p), o[-1], v) for p, o, v in deep] == [(10_000, 0, "1"), (10_002, 1, ["2"])]
+    deep = scan('{"a": ' * 5000 + "7" + "}" * 5000)
+    assert [(p.count("a"), v) for p, _, v in deep] == [(5000, "7")]
+    assert scan("f(" * 3000 + "[1]" + ")" * 3000) == [("[]", (), ["1"])]
+
+
+def test_number_keys_of_any_length():
+    assert scan('{"isotopes": {"123456789012": {"x": 1}}}') == [("isotopes{}.x", (123456789012,), "1")]
+    with pytest.raises(Broken, match="key too large"):
+        scan('{"1234567890123456789": 1}')
+    assert scan('{"[]": {"{}": 1}, "": 2}') == [("[].{}", (), "1"), ("", (), "2")]
+
+
+def test_grouped_digits_are_no_number():
+    assert math.isnan(number("1_000")) and [x if x == x else None for x in numbers(["1", "1_0", "x"])] == [1.0, None, None]
+
+
+def test_why_texts_are_rejected(spark):
+    rows = [(1, "[1]", "[[1"), (2, None, ""), (3, "{'a' 1}", '{"12345678901234567890": 1}'), (4, "[]", "{}")]
+    got = rejected(spark.createDataFrame(rows, "rec bigint, a string, b string").selectExpr("*", "1 AS cell"), "rec", ("a", "b")).collect()
+    assert sorted(map(tuple, got)) == [(1, "b", "ends early"), (2, "a", "missing"), (2, "b", "missing"), (3, "a", "malformed"), (3, "b", "key too large")]
+
+
 nested = st.recursive(st.none() | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=5), lambda x: st.lists(x, max_size=4) | st.dictionaries(st.sampled_from("abc"), x, max_size=3), max_leaves=12)
 
 
@@ -119,3 +144,15 @@ def test_points_have_isotopes_and_isotopes_features(spark):
     keys = ["src_table", "rec_id", "feature_pos", "iso_pos"]
     assert found.join(isotopes, keys, "left_anti").count() == 0 and isotopes.join(features, keys[:3], "left_anti").count() == 0
     assert isotopes.groupBy(*keys).count().where("count > 1").count() == 0
+
+
+def test_folded_levels_and_carried_columns(spark):
+    xic = lambda t, y: {"xic": {"l_retention_times": [t], "l_mass_to_charges": [t], "l_intensities": [y]}}
+    features = [{"l_retention_times": [[1, 2], [3]], "l_mass_to_charges": [[1, 2], [3]], "l_intensities": [[5, 6], [None]]}, {"isotopes": {"9": xic(1, 5), "4": xic(2, 7)}}]
+    df = spark.createDataFrame([(1, "r", json.dumps({"features": features})), (2, None, "{")], "rec_id bigint, run string, payload string")
+    get = lambda n: sorted((r.run, r.feature_pos, r.iso_pos, r.intensity) for r in flatten(df, "rec_id", {"payload": ("", ())}, POINTS, n, carry=("run",)).collect())
+    assert get(0) == [("r", 0, 0, 5.0), ("r", 0, 0, 6.0), ("r", 1, 4, 7.0), ("r", 1, 9, 5.0)]
+    assert get(1) == [("r", 0, 0, [5.0, 6.0]), ("r", 1, 4, [7.0]), ("r", 1, 9, [5.0])]
+    assert get(2) == [("r", 0, [0], [[5.0, 6.0]]), ("r", 1, [4, 9], [[7.0], [5.0]])]
+    with pytest.raises(ValueError):
+        flatten(df.withColumnRenamed("run", "iso_pos"), "rec_id", {"payload": ("", ())}, POINTS, carry=("iso_pos",))
