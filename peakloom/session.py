@@ -12,12 +12,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, else
-    the one already set on the context, else (tests on one machine) a new one."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, else the one already
+    set on the context.  Where neither is, a session of one machine gets a new one; on a cluster this raises."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not _one_machine(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="peakloom-")
         context.setCheckpointDir(folder)
     return folder
@@ -27,9 +34,22 @@ def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back.
 
     Later steps start from files, so a lost executor costs a reread and not a
-    recomputation, and rows whose making is not repeatable stay the same.
+    recomputation, and rows whose making is not repeatable stay the same.  The tables of a session lie in
+    one folder, ``staged-<application>``, which goes when the driver ends, or earlier by ``clear_staged``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = f"{_staging(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> bool:
+    """Removes the session's staged tables; DataFrames that read them can no longer be used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

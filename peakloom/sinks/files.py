@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +25,8 @@ def parquet(df: DataFrame, path: str, by: tuple[str, ...] = ("fdr",)) -> None:
 
 
 def delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """Text files with a header; nested columns as JSON."""
+    """Text files with a header; nested columns as JSON, rows' places in their files left out."""
+    df = df.drop("ordinal")
     flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else F.col(f"`{f.name}`") for f in df.schema.fields]
     df.select(*flat).write.mode("overwrite").csv(path, sep=sep, header=True, quote='"', escape='"')
 
@@ -54,7 +60,9 @@ def _cell(row: int, col: int, value: object, style: int) -> str:
         return f"<c {at}/>"
     if isinstance(value, (int, float)) and not isinstance(value, bool) and value == value and abs(value) != float("inf"):
         return f"<c {at}><v>{value!r}</v></c>"
-    return f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape(str(value)[:CELL_CHARS])}</t></is></c>'
+    if len(text := str(value)) > CELL_CHARS:
+        raise ValueError(f"a sheet's cell holds {CELL_CHARS} characters, this one has {len(text)}; write the table as text instead")
+    return f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
 
 
 def _sheet(rows: Iterable, columns: list[str], groups: list[tuple[str, list[str]]]) -> Iterable[str]:
@@ -72,8 +80,6 @@ def _sheet(rows: Iterable, columns: list[str], groups: list[tuple[str, list[str]
     yield '<row r="1">' + "".join(_cell(1, c, name, 1) for c, name in heads) + "</row>"
     yield '<row r="2">' + "".join(_cell(2, c, name.split(SEPARATOR)[0], 1 + (c in last)) for c, name in enumerate(columns)) + "</row>"
     for r, row in enumerate(rows, 3):
-        if r > SHEET_ROWS:
-            raise ValueError(f"a sheet holds {SHEET_ROWS} rows; write the table as text instead")
         yield f'<row r="{r}">' + "".join(_cell(r, c, v, 3 * (c in last)) for c, v in enumerate(row)) + "</row>"
     yield "</sheetData>" + (f'<mergeCells count="{len(merges)}">' + "".join(f'<mergeCell ref="{m}"/>' for m in merges) + "</mergeCells>" if merges else "") + "</worksheet>"
 
@@ -99,15 +105,33 @@ xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><s
 }
 
 
-def xlsx(df: DataFrame, path: str) -> None:
-    """The wide table as one sheet: a merged row of group names over the runs, a thin border after
-    each group.  Rows stream through the driver one partition at a time, and a sheet's row limit bounds them."""
+def xlsx(df: DataFrame, folder: str, rows: int = SHEET_ROWS - 2) -> list[str]:
+    """The wide table as workbooks of at most ``rows`` rows each, named in order; returns their names.
+
+    A workbook has one sheet: a merged row of group names over the runs, a thin border after each group.
+    Tasks write them, so nothing passes through the driver; ``folder`` must be one that all executors mount.
+    A text longer than a cell may be raises.
+    """
     groups = layout(df.columns)
     columns = [c for _, own in groups for c in own]
-    rows = df.select(*[F.col(f"`{c}`") for c in columns])
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in _PARTS.items():
-            book.writestr(name, text)
-        with book.open("xl/worksheets/sheet1.xml", "w") as sheet:
-            for text in _sheet(rows.toLocalIterator(), columns, groups):
-                sheet.write(text.encode())
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        part = TaskContext.get().partitionId()
+        names = []
+        while (first := next(lines, None)) is not None:
+            name = f"report-{part:05}-{len(names):03}.xlsx"
+            own = f"{folder}/.{name}-{uuid.uuid4().hex}"  # a task that runs twice leaves one workbook
+            with zipfile.ZipFile(own, "w", zipfile.ZIP_DEFLATED) as book:
+                for path, text in _PARTS.items():
+                    book.writestr(path, text)
+                with book.open("xl/worksheets/sheet1.xml", "w") as sheet:
+                    for text in _sheet(chain([first], islice(lines, rows - 1)), columns, groups):
+                        sheet.write(text.encode())
+            os.replace(own, f"{folder}/{name}")
+            names.append(name)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
+
+    written = df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(write, "name string")
+    return sorted(r[0] for r in written.collect())

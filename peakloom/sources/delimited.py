@@ -15,22 +15,55 @@ QUERIES = "identifier string, mz_start double, mz_end double, rt_start double, r
 EXPORTED = "openms_fid string, intensity double, charge int, l_pep_ident string, l_raw_pep_ident string, l_prot_ident string, l_mz_start string, l_mz_end string, l_rt_start string, l_rt_end string, l_retention_times string, l_mass_to_charges string, l_intensities string, l_ms2_scans string"
 
 
+def _header(spark: SparkSession, path: str) -> str:
+    """First line of a file, unpacked if its name says it is packed."""
+    jvm, conf = spark.sparkContext._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def delimited(spark: SparkSession, paths: str | list[str], schema: str, sep: str = "\t") -> DataFrame:
-    """Columns of ``schema`` that the files' headers name, in any order; the others are null.  Quotes are doubled
-    inside quoted cells, and the run and FDR come from the file name."""
-    header = spark.read.text(paths).limit(1).first()
-    names = [h.strip('"') for h in header[0].split(sep)] if header else []
+    """Columns of ``schema`` that a file's own header names, in any order; the others are null.  Files whose headers
+    differ are read apart and put together by name.  Quotes are doubled inside quoted cells, and the run and FDR come
+    from the file name.  ``ordinal`` orders rows as they stand in their file, also where a large file is read in pieces.
+
+    The driver reads one line of each file, no more.
+    """
+    files = [r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
+    kinds: dict[str, list[str]] = {}
+    for f in sorted(files):
+        kinds.setdefault(_header(spark, f), []).append(f)
     wanted = spark.createDataFrame([], schema).schema
-    texts = ", ".join(f"`{n}` string" for n in names)
-    df = spark.read.csv(paths, schema=texts, header=True, sep=sep, quote='"', escape='"', maxCharsPerColumn=-1, enforceSchema=False) if names else spark.createDataFrame([], "x string")
-    picked = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted]
-    base = strip_extension(F.col("_metadata.file_name")) if names else F.lit(None).cast("string")
-    return df.select(run_key(base).alias("run"), fdr_key(base).alias("fdr"), *picked)
+    out = None
+    for header, own in kinds.items():
+        names = [h.strip('"') for h in header.lstrip("\ufeff").rstrip("\r").split(sep)]
+        if header.strip():
+            texts = ", ".join(f"`{n}` string" for n in names)
+            df = spark.read.csv(own, schema=texts, header=True, sep=sep, quote='"', escape='"', maxCharsPerColumn=-1, enforceSchema=False)
+            picked = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted]
+            base = strip_extension(F.col("_metadata.file_name"))
+            # rows of one piece of a file are read in order by one task
+            place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+            one = df.select(run_key(base).alias("run"), fdr_key(base).alias("fdr"), *picked, place.alias("ordinal"))
+            out = one if out is None else out.unionByName(one)
+    if out is None:
+        return spark.createDataFrame([], f"run string, fdr string, {schema}, ordinal struct<file: string, start: bigint, row: bigint>")
+    return out
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Rows with their order in the file; file order holds within a partition, and small files are one partition."""
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+def directories(spark: SparkSession, pattern: str) -> DataFrame:
+    """(run, path, kind) of directories that match a glob, such as raw data that come as folders."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    paths = spark.createDataFrame([(f.getPath().toString(),) for f in found if f.isDirectory()], "path string")
+    return paths.select(strip_extension(F.col("path")).alias("run"), "path", F.regexp_extract("path", r"\.([^./]*)$", 1).alias("kind"))
 
 
 def manifest(spark: SparkSession, pattern: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from peakloom.operators.nested import Flat, flatten
-from peakloom.session import shared_folder
 
 PAYLOADS = "batch_id bigint, run string, received_at timestamp_ntz, payload string"
 
@@ -19,8 +18,9 @@ def deliveries(spark: SparkSession, folder: str) -> DataFrame:
 def flatten_into(stream: DataFrame, spec: Flat, out: str, name: str) -> StreamingQuery:
     """Appends one flat table of all files that are there to ``out``; a later call goes on with new ones.
 
-    The parser is a map, so no state is kept and late records need no watermark.
+    The parser is a map, so no state is kept and late records need no watermark.  What has been read
+    is noted beside the rows themselves, so a restart goes on where the last run ended.
     """
     rows = flatten(stream, "batch_id", {"payload": ("", ())}, spec)
-    progress = f"{shared_folder(stream.sparkSession)}/progress-{name}"
+    progress = f"{out}/_progress-{name}"
     return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).trigger(availableNow=True).start()

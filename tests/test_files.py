@@ -1,5 +1,9 @@
+import os
 import zipfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from peakloom.sinks import files
 from peakloom.sources import delimited, xml
 
@@ -7,7 +11,7 @@ from peakloom.sources import delimited, xml
 def test_delimited(spark, tmp_path):
     p = tmp_path / "a_____qvalue_no_decoys_fdr_0.01.tsv"
     p.write_text('plain_peptide\tscan\textra\tqvalue\n"PE""P"\t7\tx\t1e-3\nTIDE\tbad\ty\t\n')
-    rows = delimited.numbered(delimited.delimited(spark, str(p), delimited.PSMS)).orderBy("ordinal").collect()
+    rows = delimited.delimited(spark, str(p), delimited.PSMS).orderBy("ordinal").collect()
     assert [(r.run, r.fdr, r.scan, r.qvalue, r.plain_peptide, r.peptide_seq) for r in rows] == [("a", "0.01", 7, 0.001, 'PE"P', None), ("a", "0.01", None, None, "TIDE", None)]
     assert [(r.run, r.kind) for r in delimited.manifest(spark, str(tmp_path / "*.tsv")).collect()] == [("a_____qvalue_no_decoys_fdr_0.01", "tsv")]
 
@@ -52,9 +56,34 @@ def test_xml(spark, tmp_path):
     assert xml.features(spark, str(tmp_path / "back")).first().mz == 500.0
 
 
+def test_headers_of_several_files(spark, tmp_path):
+    (tmp_path / "a_____fdr_0.01.tsv").write_text("scan\tpeptide_seq\tqvalue\n" + "".join(f"{k}\tP{k}\t0.1\n" for k in range(5000)))
+    (tmp_path / "b_____fdr_0.05.tsv").write_text("qvalue\tmodified_peptide\tscan\n0.2\tM\t9\n")
+    (tmp_path / "c_____fdr_0.05.tsv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = delimited.delimited(spark, str(tmp_path), delimited.PSMS)
+        assert df.where("run = 'a'").rdd.getNumPartitions() > 3
+        assert [r.scan for r in df.where("run = 'a'").orderBy("ordinal").collect()] == list(range(5000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.fdr, r.scan, r.qvalue, r.peptide_seq, r.modified_peptide) for r in df.where("run = 'b'").collect()] == [("0.05", 9, 0.2, None, "M")]
+    assert delimited.delimited(spark, str(tmp_path / "c*"), delimited.PSMS).count() == 0
+
+
+def test_directories(spark, tmp_path):
+    (tmp_path / "r1.d").mkdir()
+    (tmp_path / "r2.d").write_text("a file")
+    assert [(r.run, r.kind) for r in delimited.directories(spark, str(tmp_path / "*.d")).collect()] == [("r1", "d")]
+
+
 def test_xlsx(spark, tmp_path):
-    df = spark.createDataFrame([("e<1", 1.5, None, "x" * 40000, 2.0)], "openms_ceid string, r1_____intensity double, r2_____intensity double, r1_____pep string, first_iso_global_min_mz double")
+    kind = "openms_ceid string, r1_____intensity double, r2_____intensity double, r1_____pep string, first_iso_global_min_mz double"
+    df = spark.createDataFrame([("e<1", 1.5, None, "x" * 32767, 2.0), ("e2", None, None, None, None), ("e3", None, None, None, None)], kind).coalesce(1)
     assert files.layout(df.columns) == [("element", ["openms_ceid"]), ("intensity", ["r1_____intensity", "r2_____intensity"]), ("pep", ["r1_____pep"]), ("bounds", ["first_iso_global_min_mz"])]
-    files.xlsx(df, str(tmp_path / "a.xlsx"))
-    sheet = zipfile.ZipFile(tmp_path / "a.xlsx").read("xl/worksheets/sheet1.xml").decode()
-    assert '<mergeCell ref="B1:C1"/>' in sheet and "e&lt;1" in sheet and "<v>1.5</v>" in sheet and "x" * 32767 in sheet and "x" * 32768 not in sheet
+    names = files.xlsx(df, str(tmp_path / "out"), rows=2)
+    sheets = [zipfile.ZipFile(tmp_path / "out" / n).read("xl/worksheets/sheet1.xml").decode() for n in names]
+    assert len(sheets) == 2 and '<mergeCell ref="B1:C1"/>' in sheets[0] and "e&lt;1" in sheets[0] and "<v>1.5</v>" in sheets[0] and "x" * 32767 in sheets[0]
+    assert "e2" in sheets[0] and "e3" in sheets[1] and sorted(os.listdir(tmp_path / "out")) == names
+    with pytest.raises(Exception, match="32767 characters"):
+        files.xlsx(df.withColumn("r1_____pep", F.repeat(F.lit("x"), 40000)), str(tmp_path / "long"))
