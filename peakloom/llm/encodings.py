@@ -1,12 +1,13 @@
 """Texts decoded in a wrong encoding: finding and undoing (problem 8).
 
-A hidden Markov model has one clean state, one state per pair of encodings (written in
-one, read in another) and one for text lost to replacement characters.  The clean state
-emits characters by a character-class bigram model, or a word as a whole by the number of
-texts that hold it; a pair state emits the same words, garbled.  So the score of a word
-under a pair state is the clean model's score of the word with the pair's inverse applied,
-and Viterbi's best path through the non-ASCII words of a text labels its spans, each to be
-undone by its own inverse.
+A hidden Markov model labels the characters of a text.  It has one clean state, one state per pair
+of encodings (written in one, read in another) and one for text lost to replacement
+characters.  The clean state emits characters by a character-class bigram model, or a word as a
+whole by the number of texts that hold it; a pair state emits the characters that one character
+became, at the clean model's score of that character.  Viterbi's best path gives the spans, each to be
+undone by its own state's inverse; a span may begin and end inside a word, as in text
+without blanks.  The path is found word by word: what a word does to it is worked out once
+(``Labeller.gains``), so that repeated words cost nothing and texts in which no span can pay are passed over.
 
 The clean model is counted over all documents, and once more without the words that the
 first count shows to be garbled (Viterbi training); only this second count knows whole
@@ -17,26 +18,31 @@ the size of Unicode times ``len(CLASSES)`` squared, and one per word for at most
 words, whatever the corpus; they go to the tasks as a broadcast.  Labelling is a map over documents without any shuffle.
 
 Defined cases: a null text is not affected; an empty one neither; repeated documents are
-each judged, by their own rows; JSON notebooks are judged by their decoded strings, and a
-text that is not JSON after all by its raw characters; other columns are ignored.
+each judged, by their own rows; of JSON texts the decoded strings are judged, keys as well as values, and
+what stands between them, so one that is not valid is judged whole too; half a surrogate pair
+is no character and stays as it is; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
 import math
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from peakloom.llm.located import Located
+
 ROUNDS = 2  # counts of the clean model: the first over all words, the next without those found garbled
 REPEATED = 0.3  # most that a word adds which the text has shown before: repeats are no new evidence
-SWITCH = 9.0  # cost in nats of entering a garbled span; leaving it is free
+SWITCH = 9.0  # cost in nats of entering a garbled span; leaving it between words is free
+INSIDE = 3.0  # further cost of a border between garbled and other non-ASCII characters inside a word
 BACKOFF = 5.0  # characters' worth of trust in P(character | class) where a character stands alone
 BAD = 9.0  # cost of a character or byte that the pair cannot explain
 LOST_CLEAN = 40.0  # cost of a replacement character in clean text
@@ -60,9 +66,10 @@ CLASSES = " aA0.lLgGcChkjKPQSMBECF?+"
 _WORD = re.compile(r"(?<![^ \n\r\t])[^ \n\r\t\x80-\U0010ffff]*+[^\x00-\x7f][^ \n\r\t]*+")
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
-_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|.)", re.S)
-_HALVES = re.compile("[\ud800-\udbff][\udc00-\udfff]|[\ud800-\udfff]")
-HALF = "\uffff"  # stands for half a surrogate pair, which is no character; not U+FFFD, which would mark the text as garbled
+_NEVER = (-math.inf,) * 4
+_NONE = (-math.inf, ())
+_INDEX = {k: n for n, k in enumerate(CLASSES)}
+_BLANK = _INDEX[" "]
 
 
 def char_class(c: str) -> str:
@@ -137,6 +144,91 @@ class Inverse:
         self.name = f"{written}>{read}" + "*2" * (times > 1)
         self.bytes = _byte_map(read)
         self.japanese = written in ("cp932", "euc_jp")
+        self.utf8 = written == "utf-8"
+        self._leads: re.Pattern | None = None
+        self.ones: dict[str, bytes | None] = {}  # at most one for every character of a two-byte encoding
+        if self.bytes and (self.utf8 or self.japanese):
+            own = lambda low, high: "".join(map(re.escape, (c for c, b in self.bytes.items() if low <= b[0] <= high)))
+            self._leads = re.compile(f"[{own(0xC2, 0xF4)}][{own(0x80, 0xBF)}]" if self.utf8 else f"[{own(0x81, 0xFC)}][{own(0x40, 0xFC)}]|[{own(0xA1, 0xDF)}]")
+        # one character to one: what each non-ASCII character was
+        self.table: dict[str, str] | None = None
+        if not self.japanese and not self.utf8:
+            own = {c: b.decode(written, "ignore") for c, b in self.bytes.items() if c > "\x7f"}
+            self.table = {c: x for c, x in own.items() if x}
+
+    def may(self, word: str) -> bool:
+        """Whether a unit can begin anywhere in the word; quick, and never false where one does."""
+        return any(map(self._starts, word)) if self._leads is None else self._leads.search(word) is not None
+
+    def units(self, word: str) -> dict[int, list[tuple[int, str]]]:
+        """Place to (end, original) of the units that begin there: the fewest characters whose bytes make up whole characters."""
+        out: dict[int, list[tuple[int, str]]] = {}
+        for i, c in enumerate(word):
+            if c > "\x7f" and (self._leads or self._starts(c)) and (own := self._units(word, i)):
+                out[i] = own
+        if self.japanese and not any(_class(x) in "hkjKPB" for own in out.values() for _, text in own for x in text):
+            return {}
+        return out
+
+    def _units(self, word: str, i: int) -> list[tuple[int, str]]:
+        if self.utf8 and self.bytes:
+            got = self._utf8(word, i)
+            if got and self.times > 1:
+                return self._twice(word, got)
+            return [got] if got else []
+        out, raw = [], b""
+        for j in range(i, min(len(word), i + 8)):
+            one = self.bytes.get(word[j]) if self.bytes else self._one(word[j])
+            if not one:
+                break
+            raw += one
+            try:
+                text = raw.decode(self.written)
+            except UnicodeDecodeError as e:
+                if e.end < len(raw) or "illegal" in e.reason or "invalid" in e.reason:
+                    break
+                continue
+            if j == i and not self.utf8 and len(text) == 1 and self.written == "cp932" and _class(text) != "K":
+                break
+            if len(text) <= 3:
+                out.append((j + 1, text))
+            if self.written != "cp932" or j > i:
+                break
+        return out
+
+    def _starts(self, c: str) -> bool:
+        """Whether the two bytes of a character of a two-byte encoding can begin a unit."""
+        b = self._one(c) if c > "\x7f" else None
+        if not b:
+            return False
+        return 0xC2 <= b[0] <= 0xF4 and 0x80 <= b[-1] <= 0xBF or len(b) == 1 and b[0] >= 0xC2 if self.utf8 else b[0] >= 0xA1 and b[-1] >= 0xA1 or b[0] in (0x8E, 0x8F)
+
+    def _one(self, c: str) -> bytes | None:
+        if c not in self.ones:
+            self.ones[c] = self._encode(c)
+        return self.ones[c]
+
+    def _utf8(self, word: str, i: int) -> tuple[int, str] | None:
+        first = self.bytes.get(word[i], b"\0")[0]
+        n = 2 if 0xC2 <= first < 0xE0 else 3 if 0xE0 <= first < 0xF0 else 4 if 0xF0 <= first < 0xF5 else 0
+        if not n or i + n > len(word):
+            return None
+        raw = b"".join([self.bytes.get(c, b"\0") for c in word[i : i + n]])
+        try:
+            return i + n, raw.decode()
+        except UnicodeDecodeError:
+            return None
+
+    def _twice(self, word: str, got: tuple[int, str]) -> list[tuple[int, str]]:
+        at, text = got
+        for _ in range(3):
+            if (own := self._utf8(text, 0)) is not None and own[0] == len(text):
+                return [(at, own[1])]
+            if at >= len(word) or (more := self._utf8(word, at)) is None:
+                return []
+            at, text = more[0], text + more[1]
+        own = self._utf8(text, 0)
+        return [(at, own[1])] if own is not None and own[0] == len(text) else []
 
     def _plausible(self, text: str, bad: int) -> tuple[str, int] | None:
         """Two bytes that make up nothing Japanese are no Japanese text."""
@@ -200,33 +292,6 @@ def inverses() -> list[Inverse]:
     return [Inverse("utf-8", c) for c in UTF8_READ_AS] + twice + [Inverse(w, r) for w, r in SINGLE]
 
 
-def _joined(text: str) -> str:
-    """Escaped pairs as one character, lone halves as ``HALF``."""
-    if text.isascii():
-        return text
-    return _HALVES.sub(lambda m: m[0].encode("utf-16", "surrogatepass").decode("utf-16") if len(m[0]) == 2 else HALF, text)
-
-
-def strings(text: str) -> list[str]:
-    """The strings to judge: of a JSON notebook its decoded ones, else the text itself."""
-    if text.lstrip()[:1] == "{":
-        try:
-            out, todo = [], [json.loads(text)]
-        except (ValueError, RecursionError):
-            return [_joined(_ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else m[0], text))] if "\\u" in text else [text]
-        while todo:
-            x = todo.pop()
-            if isinstance(x, str):
-                if not x.isascii():
-                    out.append(_joined(x))
-            elif isinstance(x, dict):
-                todo.extend(reversed(x.values()))
-            elif isinstance(x, list):
-                todo.extend(reversed(x))
-        return out
-    return [text]
-
-
 def _suspect(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows whose text has non-ASCII characters or JSON escapes; all others are clean."""
     own = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -248,10 +313,10 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
             texts: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 own: Counter = Counter()
-                for s in strings(text):
-                    own.update(_WORD.findall(s))
-                    if hmm:
-                        own.subtract(s[start:end] for start, end, _ in hmm.spans(s))
+                judged = Located.suspects(text).text
+                own.update(_WORD.findall(judged))
+                if hmm:
+                    own.subtract(judged[start:end] for start, end, _, _ in hmm.words(judged))
                 own = +own
                 words.update(own)
                 texts.update(own.keys())
@@ -302,6 +367,27 @@ class Clean:
         self.alone = {c: math.log((alone.get(c, 0) + BACKOFF * p) / self.lone[_class(c)]) for c, p in self.share.items()}
         self.log = {c: math.log(p) for c, p in self.share.items()}
 
+        self.step_list = [[self.step[b, k] for k in CLASSES] for b in CLASSES]
+        self.steps = np.array(self.step_list)
+        self.of: dict[str, float] = {}
+
+    def character(self, c: str) -> float:
+        """log P(character | class) within a word."""
+        p = self.of.get(c)
+        if p is None:
+            p = self.log.get(c)
+            p = self.of[c] = math.log(self.rare[_class(c)]) if p is None else p
+        return p
+
+    def run(self, text: str, before: int) -> float:
+        """log P of characters after one of class ``before``."""
+        total = 0.0
+        for c in text:
+            k = _INDEX[_class(c)]
+            total += self.step_list[before][k] + self.character(c)
+            before = k
+        return total
+
     def __call__(self, word: str, own: int = 0) -> float:
         """own: texts not to count, as that in which the word was met says nothing for it."""
         core = word.strip(_MARKS)
@@ -325,92 +411,253 @@ class Clean:
 
 
 class Labeller:
-    """Viterbi over the non-ASCII words of one string."""
+    """Viterbi over the characters of one text, word by word.
+
+    Within a word the path runs over its characters: each is emitted by the clean state, or is part of a unit (the
+    characters that one character became) emitted by a pair state, whose inverse then continues the word for the
+    clean model.  What a word does to a path is remembered as four gains over its being clean throughout, by the state the path
+    comes in and the one it leaves with; a word whose only span is all of it also gains what it is known for as a whole.
+    """
 
     def __init__(self, rows: list[tuple[str, str, str, int]]):
-        self.clean, self.inverses, self.memo, self.top = Clean(rows), inverses(), {}, {}
+        self.clean, self.inverses, self.memo, self.tops = Clean(rows), inverses(), {}, {}
+        self.tables = [k for k, i in enumerate(self.inverses) if i.table is not None]
+        self.column = {k: c for c, k in enumerate(self.tables)}
+        self.pairs: dict[tuple[str, str], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.never = np.full(len(self.tables), -np.inf)
+
+    def _pair(self, before: str, c: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What character ``c`` after ``before`` adds to a path of each table state over the clean one: staying, entering, leaving."""
+        got = self.pairs.get((before, c))
+        if got is None:
+            step, clean = self.clean.steps, self.clean.steps[_INDEX[_class(before)], _INDEX[_class(c)]]
+            seen = [self._seen(k, before) for k in self.tables], [self._seen(k, c) for k in self.tables]
+            b, to = ([_INDEX[_class(x)] for x, _ in own] for own in seen)
+            log = np.array([self.clean.character(x) - cost for x, cost in seen[1]]) - self.clean.character(c)
+            kind = _INDEX[_class(c)]
+            got = step[b, to] + log - clean, step[_INDEX[_class(before)], to] + log - clean, step[b, kind] - clean - INSIDE
+            if len(self.pairs) < MEMO:
+                self.pairs[before, c] = got
+        return got
+
+    def _seen(self, k: int, c: str) -> tuple[str, float]:
+        """What a character was under a table state, and the cost of leaving it as it is where it cannot have been anything."""
+        x = c if c < "\x80" else self.inverses[k].table.get(c)
+        return (c, BAD) if x is None else (x, 0.0)
+
+    def _sweep(self, word: str) -> np.ndarray:
+        """Four gains (clean to clean, clean to state, state to clean, state to state) of every table state over the characters of
+        ``word``, the first entry counted as free."""
+        held = np.stack([self.never, np.zeros(len(self.tables))])  # of a path that began clean, and of one that began in the state
+        left = np.stack([self.never, self.never])  # paths that are clean again
+        before, seen = " ", 0.0
+        for c in word:
+            if c > "\x7f":
+                stay, fresh, leave = self._pair(before, c)
+                enter = left - (SWITCH + seen)
+                np.maximum(enter[0], -seen, out=enter[0])
+                np.maximum(left, held + leave, out=left)
+                held = np.maximum(held + stay, enter + fresh)
+                seen = INSIDE
+            elif before > "\x7f":
+                held = held + self._pair(before, c)[0]
+            before = c
+        if before > "\x7f":
+            held = held + self._pair(before, " ")[0]
+        left = np.maximum(left, held)
+        return np.stack([left[0], held[0], left[1], held[1]])
+
+    def _base(self, word: str) -> tuple[list[int], list[float]]:
+        """Classes of a word's characters, and the clean path's score up to each place, the blank after the word included."""
+        kind, base, before = [_INDEX[_class(c)] for c in word], [0.0], _BLANK
+        for c, k in zip(word, kind):
+            base.append(base[-1] + self.clean.step_list[before][k] + self.clean.character(c))
+            before = k
+        return kind, [*base, base[-1] + self.clean.step_list[before][_BLANK]]
+
+    def _units(self, word: str, k: int) -> dict[int, list[tuple[int, str]]]:
+        undo = self.inverses[k]
+        return undo.units(word) if undo.table is None else {i: [(i + 1, undo.table[c])] for i, c in enumerate(word) if c in undo.table}
+
+    def _most(self, units: dict[int, list[tuple[int, str]]], base: list[float], kind: list[int]) -> float:
+        """No path over these units can gain more: each at best cost-free steps into it and out of it."""
+        step, total = self.clean.step_list, 0.0
+        for i, own in units.items():
+            top = 0.0
+            for j, text in own:
+                after = step[kind[j - 1]][kind[j] if j < len(kind) else _BLANK]
+                top = max(top, sum(map(self.clean.character, text)) - (base[j] - base[i]) - after)
+            total += top
+        return total
+
+    def _path(self, word: str, k: int, units: dict | None = None, shape: tuple | None = None) -> list[tuple[float, tuple]]:
+        """The same for any one state, with the spans of each of the four paths."""
+        n, step, clean = len(word), self.clean.step_list, self.clean
+        kind, base = shape or self._base(word)
+        before = [_BLANK, *kind]
+        first, units = next(i for i in range(n) if word[i] > "\x7f"), self._units(word, k) if units is None else units
+        out = []
+        for began in (False, True):
+            nodes: list[tuple | None] = [None] * (n + 1)  # value, class before, spans so far, start of the open one
+            if began:
+                nodes[0] = (0.0, _BLANK, (), 0)
+            left = None
+            for i, c in enumerate(word):
+                node, inner = nodes[i], INSIDE * (i > first)
+                as_is = node and (node[0] + step[node[1]][kind[i]] - step[before[i]][kind[i]], kind[i], *node[2:])
+                if c <= "\x7f":
+                    if as_is and (nodes[i + 1] is None or as_is[0] > nodes[i + 1][0]):
+                        nodes[i + 1] = as_is
+                    continue
+                sources = [node] if node else []
+                if left and (began or left[0] - SWITCH > 0):
+                    sources.append((left[0] - SWITCH - inner, before[i], left[1], i))
+                elif not began:
+                    sources.append((-inner, before[i], (), i))
+                options = [(i + 1, (as_is[0] - BAD, *as_is[1:]))] if as_is else []
+                for j, text in units.get(i, ()):
+                    for value, b, spans, start in sources:
+                        options.append((j, (value + clean.run(text, b) - (base[j] - base[i]), _INDEX[_class(text[-1])], spans, start)))
+                for j, new in options:
+                    if nodes[j] is None or new[0] > nodes[j][0]:
+                        nodes[j] = new
+                if as_is and (left is None or as_is[0] - INSIDE > left[0]):
+                    left = (as_is[0] - INSIDE, (*node[2], (node[3], i)))
+            end = nodes[n] and (nodes[n][0] + step[nodes[n][1]][_BLANK] - step[before[n]][_BLANK], (*nodes[n][2], (nodes[n][3], n)))
+            options = [x for x in (end, left) if x]
+            out += [max(options, key=lambda x: x[0]) if options else _NONE, end or _NONE]
+        return out
 
-    def gains(self, word: str) -> dict[int, float]:
-        """State to its score less the clean state's, where it differs from not being possible; -1 is the lost state."""
+    def gains(self, word: str) -> dict[int, tuple[float, float, float, float]]:
+        """State to its four gains, entering counted as free; -1 is the lost state.  A state that gains no more than -SWITCH is left
+        out: leaving it before the word and entering it again after costs less, so no best path is in it."""
         known = self.memo.get(word)
         if known is not None:
             return known
-        if all(c < "\x80" or _class(c) == " " for c in word):
+        marks = [c for c in word if c > "\x7f"]
+        if all(_class(c) == " " for c in marks):
             return {}  # spaces of another width are no sign
-        lost = word.count("�")
         base, out = self.clean(word, 1), {}
-        if lost:
-            out[-1] = lost * LOST_CLEAN
+        known_by = base - self.clean.spelt(word)  # what the word has for being known as a whole
+        # spans that are not all of the word: of table states at once, of others where they could pay for a border inside
+        # it, unless the inverse, being UTF-8's, explains all of it
+        several = len(marks) > 1
+        tables = self._sweep(word).T.tolist() if several else []
+        kind, marks_base = shape = self._base(word) if several else ((), ())
         for k, undo in enumerate(self.inverses):
-            if (got := undo(word)) is not None:
+            got, inside = undo(word), _NEVER
+            if several and undo.table is not None:
+                inside = tables[self.column[k]]
+            elif several and (undo.japanese or got is None or got[1]) and undo.may(word):
+                if (units := undo.units(word)) and self._most(units, marks_base, kind) > known_by + INSIDE:
+                    inside = [x for x, _ in self._path(word, k, units, shape)]
+            four = [x - known_by for x in inside]
+            if got is not None:
                 gain = self.clean(got[0]) - base
                 if self.clean.commoner(got[0], word):  # what the first count missed must not speak for itself
                     gain = max(gain, self.clean.spelt(got[0]) - self.clean.spelt(word))
                 gain -= BAD * got[1]
-                if gain > -30:
-                    out[k] = gain
+                four = [max(x, gain) for x in four]
+            if max(four) > -SWITCH:
+                out[k] = tuple(four)
+        if lost := word.count("�"):
+            out[-1] = (lost * LOST_CLEAN,) * 4
         if len(self.memo) < MEMO:
             self.memo[word] = out
         return out
 
-    def most(self, text: str) -> float:
-        """No path through the text can gain more than this: every word's best gain, repeats as far as they count."""
-        total = 0.0
+    def cut(self, word: str, state: int, way: int) -> list[tuple[int, int]]:
+        """Spans of the best of the four paths of ``word`` in a state."""
+        if state < 0:
+            return [m.span() for m in re.finditer("�+", word)]
+        start = next(i for i, c in enumerate(word) if c > "\x7f")
+        end = len(word) if self.inverses[state].japanese else max(i for i, c in enumerate(word) if c > "\x7f") + 1
+        if sum(c > "\x7f" for c in word) > 1:
+            gain, spans = self._path(word, state)[way]
+            known_by = self.clean(word, 1) - self.clean.spelt(word)
+            if spans and gain - known_by >= self.gains(word)[state][way] - 1e-9:
+                return [(max(a, start), min(b, end)) for a, b in spans]
+        return [(start, end)]
+
+    def active(self, text: str) -> set[int]:
+        """States that a best path through ``text`` can be in: those whose words' best gains, repeats as far as they
+        count, exceed the cost of entering; a span of another state would lose."""
+        total: dict[int, float] = {}
         for word, n in Counter(_WORD.findall(text)).items():
-            top = self.top.get(word)
-            if top is None:
-                top = max(0.0, max(self.gains(word).values(), default=0.0))
-                if len(self.top) < MEMO:
-                    self.top[word] = top
-            total += top + (n - 1) * (top if "�" in word else min(top, REPEATED))
-        return total
-
-    def spans(self, text: str) -> list[tuple[int, int, int]]:
-        """(start, end, state) of the garbled words of ``text``, in order."""
-        if self.most(text) <= SWITCH:
+            tops = self.tops.get(word)
+            if tops is None:
+                tops = [(k, top, top if k < 0 else min(top, REPEATED)) for k, four in self.gains(word).items() if (top := max(four)) > 0]
+                if len(self.tops) < MEMO:
+                    self.tops[word] = tops
+            for k, top, again in tops:
+                total[k] = total.get(k, 0.0) + top + (n - 1) * again
+        return {k for k, v in total.items() if v > SWITCH}
+
+    def words(self, text: str) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
+        """(start, end, state, spans) of the words of ``text`` that hold garbled characters, in order."""
+        active = self.active(text)
+        if not active:
             return []
         words = [(m.start(), m.end(), self.gains(m[0])) for m in _WORD.finditer(text)]
-        best: dict[int | None, float] = {None: 0.0}
-        back: list[dict] = []
+        clean, best = 0.0, {}
+        back: list[tuple] = []
         shown: set[str] = set()
         for start, end, gains in words:
-            most = REPEATED if (word := text[start:end]) in shown else math.inf
+            word = text[start:end]
+            repeated = word in shown
             shown.add(word)
-            top = max(best, key=lambda s: best[s])
-            leave = best[top]
-            new, came = {None: leave}, {None: top}
-            for s, gain in gains.items():
-                gain = min(gain, most) if s >= 0 else gain
-                stay, enter = best.get(s, -math.inf), leave - SWITCH
-                new[s], came[s] = (stay + gain, s) if stay >= enter else (enter + gain, top)
-            best = new
-            back.append(came)
-        state, out = max(best, key=lambda s: best[s]), []
-        for (start, end, _), came in zip(reversed(words), reversed(back)):
-            if state is not None:
-                out.append((start, end, state))
-            state = came[state]
+            new_clean, came, new, into = clean, None, {}, {}
+            for k in active & gains.keys():
+                four = gains[k] if k < 0 or not repeated else [min(x, REPEATED) for x in gains[k]]
+                held = best.get(k, -math.inf)
+                stay, enter = held + four[3], clean - SWITCH + four[1]
+                new[k], into[k] = (stay, (k, k, 3)) if stay >= enter else (enter, (None, k, 1))
+                for value, way in ((held + four[2], (k, k, 2)), (clean - SWITCH + four[0], (None, k, 0)), (new[k], into[k])):
+                    if value > new_clean:
+                        new_clean, came = value, way
+            clean, best = new_clean, new
+            back.append((came, into))
+        state, out = None, []
+        for (start, end, _), (came, into) in zip(reversed(words), reversed(back)):
+            way = came if state is None else into[state]
+            if way is not None:
+                state, k, which = way
+                out.append((start, end, k, [(start + a, start + b) for a, b in self.cut(text[start:end], k, which)]))
         return out[::-1]
 
-    def restore(self, text: str) -> tuple[str, Counter]:
-        """The text with every span undone that can be, and how many words each state holds."""
-        spans, parts, at, seen = self.spans(text), [], 0, Counter()
-        for start, end, state in spans:
-            seen["lost" if state < 0 else self.inverses[state].name] += 1
-            if state >= 0 and (got := self.inverses[state](text[start:end])):
-                parts += [text[at:start], got[0]]
-                at = end
-        return "".join([*parts, text[at:]]), seen
+    def spans(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, end, state) of the garbled characters of ``text``, in order."""
+        return [(a, b, state) for _, _, state, own in self.words(text) for a, b in own]
 
+    def changes(self, text: str) -> tuple[list[tuple[int, int, int, str | None]], Counter]:
+        """(start, end, state, original) of every span, the original null where it cannot be had, and how many words each state holds."""
+        out, seen = [], Counter()
+        for _, _, state, own in self.words(text):
+            seen[self.name(state)] += 1
+            for a, b in own:
+                got = self.inverses[state](text[a:b]) if state >= 0 else None
+                out.append((a, b, state, got[0] if got else None))
+        return out, seen
 
-def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFrame:
-    """(key, words, pairs[, text]): affected rows, their garbled words, the pairs that explain
-    them, most words first, and if wanted the text restored as far as it can be."""
-    docs = _suspect(df, key, text)
-    spark = df.sparkSession
+    def name(self, state: int) -> str:
+        return "lost" if state < 0 else self.inverses[state].name
+
+
+_SPANS = "key bigint, first_char int, end_char int, pair string, garbled string, original string"
+
+
+def _model(docs: DataFrame) -> Broadcast:
     model = None
     for _ in range(ROUNDS):
-        model = spark.sparkContext.broadcast([tuple(r) for r in clean_counts(docs, model).collect()])  # at most Unicode x classes squared, some thousands in practice
+        model = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in clean_counts(docs, model).collect()])  # at most Unicode x classes squared, some thousands in practice
+    return model
+
+
+def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFrame:
+    """(key, words, pairs[, text]): affected rows, the number of their garbled words, the pairs that explain
+    them, most words first, and if wanted the text restored as far as it can be: outside the labelled spans it is the text as it was, byte for byte."""
+    docs = _suspect(df, key, text)
+    model = _model(docs)
     schema = "key bigint, words int, pairs string" + ", text string" * restored
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,21 +665,14 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
         for batch in batches:
             keys, words, pairs, texts = [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen: Counter = Counter()
-                fixed: dict[str, str] = {}
-                for s in strings(t):
-                    if restored:
-                        fixed[s], own = hmm.restore(s)
-                        seen += own
-                    else:
-                        for _, _, state in hmm.spans(s):
-                            seen["lost" if state < 0 else hmm.inverses[state].name] += 1
+                own = Located.suspects(t)
+                changes, seen = hmm.changes(own.text)
                 if seen:
                     keys.append(k)
                     words.append(sum(seen.values()))
                     pairs.append(",".join(p for p, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))))
                     if restored:
-                        texts.append(_rebuilt(t, fixed))
+                        texts.append(own.replaced([(a, b, new) for a, b, _, new in changes if new is not None]))
             columns = [pa.array(keys, pa.int64()), pa.array(words, pa.int32()), pa.array(pairs, pa.string())] + [pa.array(texts, pa.string())] * restored
             yield pa.RecordBatch.from_arrays(columns, ["key", "words", "pairs", *["text"] * restored])
 
@@ -440,22 +680,23 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
     return out.withColumnsRenamed({"key": key, "text": text})
 
 
-def _rebuilt(text: str, fixed: dict[str, str]) -> str:
-    """``text`` with its strings replaced; a notebook is written as JSON again."""
-    if text in fixed:
-        return fixed[text]
-    try:
-        whole = json.loads(text)
-    except (ValueError, RecursionError):
-        return next(iter(fixed.values()))
-
-    def put(x: object) -> object:
-        if isinstance(x, str):
-            return fixed.get(own := _joined(x), own)
-        if isinstance(x, dict):
-            return {_joined(k): put(v) for k, v in x.items()}
-        return [put(v) for v in x] if isinstance(x, list) else x
-
-    return json.dumps(put(whole), ensure_ascii=False)
-
+def garbled_spans(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, first_char, end_char, pair, garbled, original): every labelled span, its place in the raw text and what its state's
+    inverse makes of it; null where nothing can be restored."""
+    docs = _suspect(df, key, text)
+    model = _model(docs)
 
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hmm = Labeller(model.value)
+        for batch in batches:
+            rows = []
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = Located.suspects(t)
+                for a, b, state, new in hmm.changes(own.text)[0]:
+                    raw = own.spans(a, b)
+                    rows.append((k, raw[0][0], raw[-1][1], hmm.name(state), own.text[a:b], new))
+            if rows:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "first_char", "end_char", "pair", "garbled", "original"])
+
+    return docs.mapInArrow(judge, _SPANS).withColumnRenamed("key", key)

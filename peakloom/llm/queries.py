@@ -101,6 +101,11 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
     return encodings.label(table(spark, sf, "documents"), "doc_id", "text", restored=True)
 
 
+def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Garbled stretches with their place in the raw text, the pair that explains each and the original characters."""
+    return encodings.garbled_spans(table(spark, sf, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "p6_packed": p6_packed,
     "p6_containers": p6_containers,
@@ -109,6 +114,7 @@ QUERIES = {
     "p7_items": p7_items,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
+    "p8_spans": p8_spans,
     "p2_found": p2_found,
     "p2_cutoffs": p2_cutoffs,
     "p3_found": p3_found,

@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -18,3 +19,27 @@ def test_against_sql(spark, name):
 def test_runs(spark, name):
     df = QUERIES[name](spark, SMALL)
     assert df.count() >= 0 and len(set(df.columns)) == len(df.columns)
+
+
+def test_restored_texts_differ_only_inside_spans(spark):
+    folder = next((f for f in ("/root/testdata/sf0.01", SMALL) if os.path.isdir(f)), SMALL)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    spans = {}
+    for r in QUERIES["p8_spans"](spark, folder).collect():
+        spans.setdefault(r.doc_id, []).append((r.first_char, r.end_char, r.original))
+    restored = QUERIES["p8_restored"](spark, folder).collect()
+    assert {r.doc_id for r in restored} == set(spans) == {r.doc_id for r in QUERIES["p8_found"](spark, folder).collect()}
+    for r in restored:
+        old, new, at, there = texts[r.doc_id], r.text, 0, 0
+        for first, end, original in sorted(spans[r.doc_id]):
+            kept = old[at:first]
+            assert new[there : there + len(kept)] == kept
+            there += len(kept)
+            if original is None:
+                there += end - first
+            else:
+                forms = {original, json.dumps(original)[1:-1], json.dumps(original, ensure_ascii=False)[1:-1]}
+                form = max((f for f in forms if new.startswith(f, there)), key=len)
+                there += len(form)
+            at = end
+        assert new[there:] == old[at:]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from peakloom.llm import encodings, leakage, packing
+from peakloom.llm.located import HALF, Located, pieces
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -193,9 +194,69 @@ def test_halves_of_surrogate_pairs(spark):
     rows = [(1, book % "plain"), (2, book % garbled), (3, '{broken "caf\\u00e9 \\ud83d\\ude00 \\ude00"'), (4, '{broken "caf\\u00e9 \\ud83d\\ude00 \\ud83d ' + garbled)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in encodings.label(df, "doc_id", "text", restored=True).collect()}
-    assert set(got) == {2, 4} and json.loads(got[2])["cells"][0]["source"] == f"café {encodings.HALF} né" and "😀" in got[4]
+    assert got == {2: book % "l’élève révèle", 4: rows[3][1].replace(garbled, "l’élève révèle")}
     assert encodings.label(df, "doc_id", "text").count() == 2
-    assert encodings.strings(rows[2][1]) == [f'{{broken "café 😀 {encodings.HALF}"']
+    assert Located.suspects(rows[2][1]).text.split("\n")[0] == f"café 😀 {HALF}"
+
+
+def test_characters_know_their_place():
+    raw = '{"a": "x", "k\\u00e9y": ["one \\"two\\" é\\n", "\\ud83d\\ude00z"], "tail": "é'
+    own = Located.suspects(raw)
+    assert own.text == 'kéy\none "two" é\n\n😀z\n: "é\n'
+    for k, c in enumerate(own.text):
+        for a, b in own.spans(k, k + 1):
+            assert "".join(p[0] for p in pieces(raw, a, b)) == c
+    at = own.text.index("😀")
+    assert own.replaced([(1, 2, "è"), (at, at + 2, 'ü"')]) == raw.replace("\\u00e9", "\\u00e8").replace("\\ud83d\\ude00z", '\\u00fc\\"')
+    assert Located.suspects("").text == "" and Located.suspects("{").text == ""
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(" ".join(rng.sample(CLEAN[k].split(), len(CLEAN[k].split()))),) for k in CLEAN for _ in range(60)], "text string")
+    return encodings.Labeller([tuple(r) for r in encodings.clean_counts(docs).collect()])
+
+
+def test_spans_inside_words(model):
+    """Text without blanks, garbled in part: only the garbled characters are labelled."""
+    clean, rest = "一方、細い区間が隣の境界を示している。", "図のように、左の列が古い範囲を隠す。"
+    for written, read in (("utf-8", "latin-1"), ("utf-8", "mac_roman"), ("euc_jp", "cp1252"), ("cp932", "mac_roman")):
+        garbled = rest.encode(written).decode(read)
+        for text in (clean + garbled, garbled + clean, clean + garbled + clean):
+                changes, _ = model.changes(text)
+                at = text.index(garbled)
+                assert [(a, b, original) for a, b, _, original in changes] == [(at, at + len(garbled), rest)], (written, read)
+    assert model.spans(clean + rest) == []
+
+
+def test_both_forms_of_the_path_agree(model):
+    words = ["следовательно", "L’élève", "łączyéÅ", "隣の境界を", "Ã©tÃ©", "ÐŸÑ€Ð¸", "d’été…", "“ordered”"]
+    for word in words:
+        four = model._sweep(word)
+        for col, k in enumerate(model.tables):
+            for x, (y, _) in zip(four[:, col], model._path(word, k)):
+                assert math.isclose(max(x, -encodings.SWITCH), max(y, -encodings.SWITCH), abs_tol=1e-9)
+
+
+def test_units_of_pairs():
+    for pair in encodings.inverses():
+        for text in ("é", "ж", "…", "の境", "ł"):
+            try:
+                garbled = text
+                for _ in range(pair.times):
+                    garbled = garbled.encode(pair.written).decode(pair.read)
+            except UnicodeError:
+                continue
+            if pair.table is not None:
+                assert "".join(pair.table.get(c, c) for c in garbled) == text
+            elif garbled != text and any(c > "\x7f" for c in garbled) and (not pair.japanese or text == "の境"):
+                assert pair.may(garbled), pair.name
+                at, out, units = 0, "", pair.units(garbled)
+                while at < len(garbled):
+                    at, piece = units[at][-1]
+                    out += piece
+                assert out == text, pair.name
 
 
 def test_leaks_in_errors_nested_data_and_broken_notebooks(spark):
