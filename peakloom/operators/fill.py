@@ -2,8 +2,8 @@
 
 Numbers: a mixed-effects model of the logarithm, log(1 + y) = mean + group + period +
 rest, with both effects shrunk towards 0 by the ratio of the rest's variance to theirs.
-The variances come from the groups' own sums (method of moments), the effects from a few
-rounds over the mixed-model equations, each round one aggregate by group and one by
+The variances come from the groups' own sums (method of moments), the effects from
+rounds over the mixed-model equations until they come to rest, each round one aggregate by group and one by
 period.  Categories: a multinomial per group whose shares are shrunk towards the shares
 of the record's period by ``PRIOR`` pseudo-records; the likeliest one is filled in.
 
@@ -21,14 +21,17 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peakloom.session import staged
+from peakloom.session import bounded, staged
 
-ROUNDS = 3
+TOLERANCE = 1e-3  # largest change of an effect of the logarithm at which the rounds end
+ROUNDS = 100
 PRIOR = 2.0
-SMALL = 100_000
 
 
 def usable(c: Column) -> Column:
@@ -36,13 +39,24 @@ def usable(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (c >= 0) & (c < float("inf"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """For broadcast if a count shows it small, else as it is."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+@dataclass(frozen=True)
+class Fit:
+    """A fitted model: mean and variances of the logarithm, effects as tables, and how the rounds ended."""
 
+    rows: DataFrame  # (group, record, period, y)
+    mean: float
+    rest: float
+    of_group: float
+    of_period: float
+    groups: DataFrame  # (group, g)
+    periods: DataFrame  # (period, t)
+    rounds: int
+    change: float  # the largest change of a period's effect in the last round
 
-def fill_numbers(members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(record, filled) for members (group, record, period, value): one row per record that is missing and can be filled."""
+
+def fit(members: DataFrame, tolerance: float = TOLERANCE, most: int = ROUNDS) -> Fit | None:
+    """The model of members (group, record, period, value); none if no value is known.  Rounds end when no period's effect
+    changes by more than ``tolerance``; a fit that has not come to rest after ``most`` rounds raises."""
     rows = staged(members.where("group IS NOT NULL").select("group", "record", "period", F.when(usable(F.col("value")), F.log1p("value")).alias("y")).distinct())
     known = rows.where("y IS NOT NULL")
     sums = known.groupBy("group").agg(F.count("*").alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"))
@@ -51,7 +65,7 @@ def fill_numbers(members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("within"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between"),
     ).first()
     if not t["n"]:
-        return rows.select("record", F.lit(None).cast("double").alias("filled")).where("false")
+        return None
     mean = t["s"] / t["n"]
     rest = max(t["within"], 1e-12) / max(1, t["n"] - t["groups"])
     spread = t["n"] - t["nn"] / t["n"]
@@ -64,15 +78,32 @@ def fill_numbers(members: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     of_period = max(u["between"] - (u["k"] - 1) * (rest + of_group), 0.0) / wide if wide > 0 else 0.0
     shrink_group, shrink_period = rest / max(of_group, rest * 1e-6), rest / max(of_period, rest * 1e-6)
 
-    periods = _small(staged(p.select("period", (F.col("s") / (F.col("n") + shrink_period)).alias("t"))))
-    for k in range(rounds):
-        with_t = known.join(periods, "period", "left")
+    periods = staged(p.select("period", (F.col("s") / (F.col("n") + shrink_period)).alias("t"), F.lit(None).cast("double").alias("d")))
+    change = math.inf
+    for k in range(1, most + 1):
+        with_t = known.join(bounded(periods), "period", "left")
         groups = with_t.groupBy("group").agg((F.sum(F.col("y") - mean - F.coalesce("t", F.lit(0.0))) / (F.count("*") + shrink_group)).alias("g"))
-        if k + 1 < rounds:
-            left = known.where("period IS NOT NULL").join(groups, "group")
-            periods = _small(staged(left.groupBy("period").agg((F.sum(F.col("y") - mean - F.col("g")) / (F.count("*") + shrink_period)).alias("t"))))
-    missing = rows.where("y IS NULL").join(groups, "group").join(periods, "period", "left")
-    level = F.lit(mean) + F.col("g") + F.coalesce("t", F.lit(0.0))
+        if change <= tolerance:
+            return Fit(rows, mean, rest, of_group, of_period, groups, periods.select("period", "t"), k, change)
+        left = known.where("period IS NOT NULL").join(groups, "group")
+        new = left.groupBy("period").agg((F.sum(F.col("y") - mean - F.col("g")) / (F.count("*") + shrink_period)).alias("new"))
+        new = staged(new.join(bounded(periods), "period").select("period", F.col("new").alias("t"), (F.col("new") - F.col("t")).alias("d"), F.col("d").alias("was")))
+        c = new.agg(F.max(F.abs("d")).alias("change"), F.sum(F.col("d") * F.col("was")).alias("both"), F.sum(F.col("was") * F.col("was")).alias("was")).first()
+        change = c["change"] or 0.0
+        ratio = c["both"] / c["was"] if c["was"] else 0.0
+        if k % 3 == 0 and 0 < ratio < 1 and change > tolerance:  # changes shrink by a steady ratio: go to where they lead
+            new = new.withColumn("t", F.col("t") + F.col("d") * (ratio / (1 - ratio))).withColumn("d", F.lit(None).cast("double"))
+        periods = new.select("period", "t", "d")
+    raise RuntimeError(f"effects still change by {change:.3g} after {most} rounds")
+
+
+def fill_numbers(members: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """(record, filled) for members (group, record, period, value): one row per record that is missing and can be filled."""
+    model = fit(members, tolerance)
+    if model is None:
+        return members.select("record", F.lit(None).cast("double").alias("filled")).where("false")
+    missing = model.rows.where("y IS NULL").join(model.groups, "group").join(bounded(model.periods), "period", "left")
+    level = F.lit(model.mean) + F.col("g") + F.coalesce("t", F.lit(0.0))
     return missing.groupBy("record").agg(F.greatest(F.lit(0.0), F.expm1(F.avg(level))).alias("filled"))
 
 

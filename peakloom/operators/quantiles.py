@@ -1,42 +1,24 @@
-"""Exact quantiles per group without sorting a group in one task.
-
-Rows are counted in order-preserving cells (256 per power of two); the cells that hold a
-wanted rank are then ordered by value, equal values counted first.
-"""
+"""Exact quantiles per group, linear between neighbouring ranks; no task sorts a group (``ranks``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.operators.ranks import LEAF, at_ranks
+
 
-def _cell(x: Column) -> Column:
-    """Integer that never falls as a finite x rises."""
-    size = F.floor((F.log2(F.abs(x)) + 1100) * 256)
-    return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0)).cast("int")
+def quantiles(df: DataFrame, group: str, value: str, qs: list[float], leaf: int = LEAF) -> DataFrame:
+    """(group, q, value); nulls, NaN and infinite values do not count."""
+    x = F.col(value).cast("double")
+    rows = df.select(F.col(group).alias("g"), x.alias("x")).where(F.col("g").isNotNull() & (F.abs("x") < float("inf")))
 
+    def asked(totals: DataFrame) -> DataFrame:
+        each = totals.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs]))).withColumn("at", F.col("q") * (F.col("total") - 1))
+        low, high = F.floor("at"), F.ceil("at")
+        return each.select("g", F.explode(F.array_distinct(F.array(low, high))).alias("rank"), F.struct("q", "at", low.alias("low"), high.alias("high")).alias("tag"))
 
-def quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFrame:
-    """(group, q, value): linear between neighbouring ranks; nulls and NaN do not count."""
-    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x") & F.col("g").isNotNull())
-    rows = rows.withColumn("cell", _cell(F.col("x")))
-    one = Window.partitionBy("g")
-    up = one.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = rows.groupBy("g", "cell").agg(F.count("*").alias("n"))
-    cells = cells.withColumn("start", F.sum("n").over(up) - F.col("n")).withColumn("total", F.sum("n").over(one))
-    # per wanted quantile the ranks on both sides of it, laid between the starts of the cells to find the cell of each
-    asked = cells.groupBy("g").agg(F.max("total").alias("total")).select("g", "total", F.posexplode(F.array(*[F.lit(float(q)) for q in qs])).alias("k", "q"))
-    asked = asked.select("g", "k", "q", (F.col("q") * (F.col("total") - 1)).alias("at"))
-    asked = asked.withColumn("pos", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
-    along = one.orderBy("pos", F.col("k").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = cells.select("g", "cell", "start", F.col("start").alias("pos")).unionByName(asked, allowMissingColumns=True)
-    placed = placed.select("g", "k", "q", "at", *[F.last(c, ignorenulls=True).over(along).alias(c) for c in ("cell", "start")])
-    wanted = placed.where("k IS NOT NULL").distinct()
-    values = rows.join(wanted.select("g", "cell", "start").distinct(), ["g", "cell"]).groupBy("g", "cell", "start", "x").agg(F.count("*").alias("n"))
-    in_cell = Window.partitionBy("g", "cell").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    values = values.withColumn("until", F.col("start") + F.sum("n").over(in_cell)).withColumn("from", F.col("until") - F.col("n"))
-    hit = values.join(wanted.drop("start"), ["g", "cell"]).where((F.floor("at") < F.col("until")) & (F.ceil("at") >= F.col("from")))
-    low = F.max(F.when((F.floor("at") >= F.col("from")) & (F.floor("at") < F.col("until")), F.col("x")))
-    high = F.max(F.when((F.ceil("at") >= F.col("from")) & (F.ceil("at") < F.col("until")), F.col("x")))
-    out = hit.groupBy("g", "k", "q", "at").agg(low.alias("low"), high.alias("high"))
-    return out.select(F.col("g").alias(group), "q", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at"))).alias("value"))
+    found = at_ranks(rows, asked, leaf).groupBy("g", "tag")
+    at = lambda n: F.max(F.when(F.col("rank") == F.col(f"tag.{n}"), F.col("value"))).alias(n)
+    both = found.agg(at("low"), at("high"))
+    return both.select(F.col("g").alias(group), "tag.q", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("tag.at") - F.col("tag.low"))).alias("value"))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,3 +54,16 @@ def clear_staged(spark: SparkSession) -> bool:
     """Removes the session's staged tables; DataFrames that read them can no longer be used."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+BROADCAST_ROWS = 200_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
+def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``small`` marked for broadcast if a count shows at most ``rows`` rows; otherwise as it is, so that the join
+    shuffles and AQE splits skewed keys."""
+    return F.broadcast(small) if is_small(small, rows) else small

@@ -9,6 +9,7 @@ from peakloom.functions import expr
 from peakloom.operators import consensus, curves, fill, idents
 from peakloom.operators.intervals import in_intervals
 from peakloom.operators.quantiles import quantiles
+from peakloom.operators.ranks import at_ranks
 
 
 def one(spark, schema, row, *cols):
@@ -47,6 +48,25 @@ def test_quantiles_match_numpy(spark):
         assert math.isclose(v, float(np.quantile(data[g], q)), rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_quantiles_of_values_close_together(spark):
+    """All values in one first cell: it is divided until what is sorted is small."""
+    rng = random.Random(6)
+    data = {"a": [0.999 + rng.random() * 1e-3 for _ in range(3000)] + [0.9995] * 500, "b": [-1e308, 1e308, 5.0] + [5.0 + k * 1e-12 for k in range(400)]}
+    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
+    qs = [0.0, 0.1, 0.3333, 0.5, 0.9, 1.0]
+    for leaf in (5, 100):
+        for r in quantiles(df, "g", "v", qs, leaf).collect():
+            assert math.isclose(r.value, float(np.quantile(data[r.g], r.q)), rel_tol=1e-12), (r.g, r.q, leaf)
+
+
+def test_ranks_and_their_ties(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in [1, 2, 2, 2, 3] * 10], "g string, x double")
+    asked = lambda totals: totals.select("g", F.explode(F.lit([0, 9, 10, 39, 40, 49])).alias("rank"), F.lit("t").alias("tag"))
+    for leaf in (1, 7, 1000):
+        got = sorted(tuple(r) for r in at_ranks(df, asked, leaf).collect())
+        assert got == [("a", k, "t", v, b, t) for k, v, b, t in [(0, 1.0, 0, 10), (9, 1.0, 0, 10), (10, 2.0, 10, 40), (39, 2.0, 10, 40), (40, 3.0, 40, 50), (49, 3.0, 40, 50)]]
+
+
 def test_intervals_match_nested_loop(spark):
     rng = random.Random(1)
     points = [(rng.choice("ab"), k, round(rng.uniform(0, 1000), 1)) for k in range(300)] + [("a", 999, None), (None, 998, 5.0)]
@@ -128,6 +148,17 @@ def test_fill_beats_group_mean(spark):
     assert mixed < 0.35 and mixed < 0.7 * plain
 
 
+def test_rounds_come_to_rest(spark):
+    rows, _ = members(random.Random(5), groups=80)
+    df = spark.createDataFrame(rows, "group string, record bigint, period string, value double")
+    rough, fine = fill.fit(df), fill.fit(df, 1e-10)
+    assert rough.change <= fill.TOLERANCE and fine.change <= 1e-10 and rough.rounds <= fine.rounds
+    other = {r.period: r.t for r in fine.periods.collect()}
+    assert all(abs(r.t - other[r.period]) < 10 * fill.TOLERANCE for r in rough.periods.collect())
+    with pytest.raises(RuntimeError):
+        fill.fit(df, 0.0, most=2)
+
+
 def test_fill_edge_cases(spark):
     kind = "group string, record bigint, period string, value double"
     rows = [("g", 1, None, None), ("g", 2, "p", 10.0), ("g", 2, "p", 10.0), ("h", 3, "p", None), ("h", 4, "p", float("inf")), (None, 5, "p", None), ("g", 6, "q", 0.0), ("k", 1, None, 5.0), ("k", 7, None, 5.0)]
