@@ -1,11 +1,11 @@
 """Score cutoff per source that keeps a target fraction of its records (problem 2).
 
-The sort within each source is done at two levels.  An order-preserving score cell
-(256 per power of two) is counted for all records, so the exact cumulative position at
-the end of every cell is known from a table of a few thousand rows per source; only the
-cell that holds the target position is then sorted by score.  Equal scores share one
+Records are counted once each and written down.  The exact cumulative position of every
+score cell is known from counts; the cell that holds the target position is divided and counted
+again until it is small, and only then sorted by score (``operators.ranks``).  Equal scores share one
 position (that of the last of them, whatever their identifiers), so they are counted
-before they are sorted and no task ever holds a source, however large.
+before they are sorted, and no task sorts more than ``leaf`` different scores of a source, however large
+the source and however close together its scores.
 
 Defined cases: records with a null source or identifier, or whose score is null, NaN,
 infinite or negative, are not counted and not kept; repeated rows of one identifier in
@@ -17,22 +17,12 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.sizes import is_small
-
-CELLS_PER_OCTAVE = 256
-
-
-def usable(c: Column) -> Column:
-    """Not null, not NaN, not infinite, not negative."""
-    return c.isNotNull() & ~F.isnan(c) & (c >= 0) & (c < float("inf"))
-
-
-def score_cell(x: Column) -> Column:
-    """Integer that never falls as x (a finite number >= 0) rises; 1,100 exceeds the exponent of the least double."""
-    return F.when(x > 0, F.floor((F.log2(x) + 1100) * CELLS_PER_OCTAVE)).otherwise(F.lit(0)).cast("int")
+from peakloom.operators.fill import usable
+from peakloom.operators.ranks import LEAF, at_ranks
+from peakloom.session import bounded, staged
 
 
 def counted(df: DataFrame, source: str, key: str, score: str) -> DataFrame:
@@ -42,52 +32,31 @@ def counted(df: DataFrame, source: str, key: str, score: str) -> DataFrame:
     return own.groupBy("source", "key").agg(F.max("score").alias("score"))
 
 
-def _cutoffs(one: DataFrame, fractions: DataFrame, small: bool) -> DataFrame:
-    cells = one.groupBy("source", score_cell(F.col("score")).alias("cell")).agg(F.count("*").alias("n"))
-    down = Window.partitionBy("source").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
-    reached = F.col("through") / F.col("counted") >= F.col("fraction")
-    target = (
-        cells.join(fractions, "source")
-        .withColumn("through", F.sum("n").over(down))
-        .withColumn("counted", F.sum("n").over(Window.partitionBy("source")))
-        .where(reached)
-        .withColumn("nth", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("cell"))))
-        .where("nth = 1")
-        .select("source", "cell", (F.col("through") - F.col("n")).alias("before"), "counted", "fraction")
-    )
-    # one row per source, so no larger than the table of fractions
-    inside = one.withColumn("cell", score_cell(F.col("score"))).join(_sent(target, small), ["source", "cell"])
-    values = inside.groupBy("source", "score", "before", "counted", "fraction").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("source").orderBy(F.desc("score"))
-    return (
-        values.withColumn("through", F.col("before") + F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(reached)
-        .withColumn("nth", F.row_number().over(order))
-        .where("nth = 1")
-        .select("source", F.col("score").alias("cutoff"), "counted", F.col("through").alias("kept"), "fraction")
-    )
-
-
-def _sent(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
-def _fractions(fractions: DataFrame, source: str, fraction: str) -> tuple[DataFrame, bool]:
-    """(source, fraction), and whether a count shows that few sources have one."""
+def _fractions(fractions: DataFrame, source: str, fraction: str) -> DataFrame:
     wanted = F.least(F.greatest(F.col(fraction).cast("double"), F.lit(1e-300)), F.lit(1.0))
     own = fractions.where(F.col(source).isNotNull() & F.col(fraction).isNotNull() & ~F.isnan(fraction))
-    small = is_small(own)
-    return _sent(own.groupBy(F.col(source).alias("source")).agg(F.max(wanted).alias("fraction")), small), small
+    return own.groupBy(F.col(source).alias("g")).agg(F.max(wanted).alias("fraction"))
+
+
+def _cutoffs(one: DataFrame, fractions: DataFrame, leaf: int) -> DataFrame:
+    def asked(totals: DataFrame) -> DataFrame:
+        # the fewest records whose share reaches the fraction; the product may round to either side of it
+        near = F.ceil(F.col("fraction") * F.col("total"))
+        fewest = F.when((near - 1) / F.col("total") >= F.col("fraction"), near - 1).when(near / F.col("total") >= F.col("fraction"), near).otherwise(near + 1)
+        rank = F.col("total") - F.least(F.greatest(fewest, F.lit(1)), F.col("total"))
+        return totals.join(bounded(fractions), "g").select("g", rank.alias("rank"), F.struct("fraction", "total").alias("tag"))
+
+    found = at_ranks(one.select(F.col("source").alias("g"), F.col("score").alias("x")), asked, leaf)
+    return found.select(F.col("g").alias("source"), F.col("value").alias("cutoff"), F.col("tag.total").alias("counted"), (F.col("tag.total") - F.col("below")).alias("kept"), "tag.fraction")
 
 
-def cutoffs(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str) -> DataFrame:
+def cutoffs(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str, leaf: int = LEAF) -> DataFrame:
     """(source, cutoff, counted, kept, fraction), one row per source."""
-    return _cutoffs(counted(df, source, key, score), *_fractions(fractions, source, fraction)).withColumnRenamed("source", source)
+    return _cutoffs(staged(counted(df, source, key, score)), _fractions(fractions, source, fraction), leaf).withColumnRenamed("source", source)
 
 
-def kept(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str) -> DataFrame:
+def kept(df: DataFrame, fractions: DataFrame, source: str, key: str, score: str, fraction: str, leaf: int = LEAF) -> DataFrame:
     """(source, key, score, cutoff) of every record at or above its source's cutoff."""
-    one = counted(df, source, key, score)
-    wanted, small = _fractions(fractions, source, fraction)
-    cut = _cutoffs(one, wanted, small).select("source", "cutoff")
-    return one.join(_sent(cut, small), "source").where("score >= cutoff").withColumnsRenamed({"source": source, "key": key})
+    one = staged(counted(df, source, key, score))
+    cut = staged(_cutoffs(one, _fractions(fractions, source, fraction), leaf).select("source", "cutoff"))
+    return one.join(bounded(cut), "source").where("score >= cutoff").withColumnsRenamed({"source": source, "key": key})

@@ -18,6 +18,7 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -26,8 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.sizes import bounded
-from peakloom.session import staged
+from peakloom.session import bounded, staged
 
 # Fixed value: how the byte-level BPE vocabulary cuts text into words before merging.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,14 +36,22 @@ FAN_IN = 16
 
 
 def token_counts(df: DataFrame, key: str, text: str, vocabulary: str) -> DataFrame:
-    """(key, size): tokens of each whole text under a rank file of a public byte-level BPE."""
+    """(key, size): tokens of each whole text under a rank file of a public byte-level BPE.
+
+    The driver reads the file, of fixed size, and sends it to the tasks; a worker process builds the coder once.
+    """
+    with open(vocabulary, "rb") as f:
+        ranks = f.read()
+    name, sent = f"peakloom-{hashlib.sha256(ranks).hexdigest()}", df.sparkSession.sparkContext.broadcast(ranks)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
+        from tiktoken.registry import ENCODINGS
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        coder = tiktoken.Encoding("given", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        coder = ENCODINGS.get(name)
+        if coder is None:
+            pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, sent.value.splitlines())}
+            coder = ENCODINGS[name] = tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=pairs, special_tokens={})
         for batch in batches:
             sizes = [len(coder.encode_ordinary(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["key", "size"])

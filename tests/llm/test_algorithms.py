@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peakloom.llm import cutoff, nearest, percentiles
+from peakloom.operators import ranks
 
 
 def brute_cutoffs(rows, fractions):
@@ -39,14 +40,27 @@ def test_cutoffs_match_brute_force(spark):
     assert cutoff.kept(df.where("false"), fr, "src", "id", "s", "share").count() == 0
 
 
+def test_cutoffs_of_scores_close_together(spark):
+    """A hot source whose scores lie in one cell: what is sorted stays small, the result exact."""
+    rng = random.Random(1)
+    rows = [("hot", k, 0.999 + rng.randrange(10**9) * 1e-12) for k in range(3000)] + [("tied", k, 0.5) for k in range(500)] + [("few", 1, 1.0)]
+    fractions = [("hot", 0.37), ("tied", 0.1), ("few", 0.9)]
+    df, fr = spark.createDataFrame(rows, "src string, id bigint, s double"), spark.createDataFrame(fractions, "src string, share double")
+    want, kept = brute_cutoffs(rows, fractions)
+    for leaf in (10, 400):
+        assert {r.src: (r.cutoff, r.counted, r.kept) for r in cutoff.cutoffs(df, fr, "src", "id", "s", "share", leaf).collect()} == want
+    assert {(r.src, r.id) for r in cutoff.kept(df, fr, "src", "id", "s", "share", 10).collect()} == kept
+
+
 def test_score_cells_keep_order(spark):
     values = sorted([0.0, 5e-324, 1e-300, 0.1, 0.25, 1.0, 1.0000001, 2.0, 3.0, 1e308, *[random.Random(k).lognormvariate(0, 50) for k in range(200)]])
-    cells = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").coalesce(1).select(cutoff.score_cell(F.col("v"))).collect()]
+    cells = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").coalesce(1).select(ranks.score_cell(F.col("v"))).collect()]
     assert cells == sorted(cells) and cells[0] == 0
 
 
+@pytest.mark.parametrize("most", [nearest.MOST, 20])
 @pytest.mark.parametrize("spread", [2.0, 5000.0])
-def test_nearest_matches_brute_force(spark, spread):
+def test_nearest_matches_brute_force(spark, spread, most):
     rng = random.Random(11)
     points = [(rng.choice("ab"), rng.choice([1, 1, 2]), k, round(rng.uniform(0, 600), 1)) for k in range(200)] + [("a", None, 900, 1.0), (None, 1, 901, 1.0), ("a", 1, None, 1.0), ("a", 1, 902, None), ("a", 1, 903, math.nan)]
     points += points[:20]
@@ -58,7 +72,7 @@ def test_nearest_matches_brute_force(spark, spread):
     spans += spans[:20] + [("a", 1, 500, None, 5.0), ("a", 1, 501, math.inf, 5.0), ("a", None, 502, 1.0, 2.0)]
     p = spark.createDataFrame(points, "run string, incl int, pid bigint, t double").withColumn("at", F.lit(0))
     s = spark.createDataFrame(spans, "run string, incl int, fid bigint, x double, y double").withColumn("bucket", F.lit("clash"))
-    got = {r.pid: (r.fid, round(r.distance, 6)) for r in nearest.nearest(p, s, ["run", "incl"], ("pid", F.col("t")), ("fid", F.col("x"), F.col("y")), 10.0).collect()}
+    got = {r.pid: (r.fid, round(r.distance, 6)) for r in nearest.nearest(p, s, ["run", "incl"], ("pid", F.col("t")), ("fid", F.col("x"), F.col("y")), 10.0, most).collect()}
     want = {}
     for run, incl, pid, t in points:
         if None in (run, incl, pid, t) or math.isnan(t):
@@ -76,6 +90,17 @@ def test_nearest_matches_brute_force(spark, spread):
     assert nearest.nearest(p, s.where("false"), ["run", "incl"], ("pid", F.col("t")), ("fid", F.col("x"), F.col("y")), 10.0).count() == 0
 
 
+def test_one_bucket_of_one_entity(spark):
+    """All rows in one bucket, a third at one time."""
+    rng = random.Random(3)
+    points = [("a", k, rng.choice([5.0, rng.uniform(0, 10), rng.uniform(0, 10)])) for k in range(600)]
+    spans = [("a", k, t := rng.choice([5.0, rng.uniform(0, 10)]), t + rng.choice([0.0, 0.01, 0.3])) for k in range(300)]
+    p, s = spark.createDataFrame(points, "e string, pid bigint, t double"), spark.createDataFrame(spans, "e string, fid bigint, x double, y double")
+    run = lambda most: sorted(tuple(r) for r in nearest.nearest(p, s, ["e"], ("pid", F.col("t")), ("fid", F.col("x"), F.col("y")), 100.0, most).collect())
+    whole = run(nearest.MOST)
+    assert len(whole) == 600 and run(50) == whole and run(7) == whole
+
+
 def test_percentiles_are_exact(spark):
     rng = random.Random(2)
     data = {"a": [rng.lognormvariate(6, 3) for _ in range(4000)] + [42.0] * 2000, "b": [0.0, 0.0, 5.0], "c": [3.5], "d": [1e308, 1.0, 5e-324]}
