@@ -78,9 +78,34 @@ def int_list(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("bigint"))
 
 
+_CALL, _NOTHING = r"\b(?:np|numpy)\.\w+\(([^()\[\]]*)\)", r"(?<=[\[,\s])(?:None|nan|NaN)(?=[\],\s])"
+
+
 def text_list(text: Column) -> Column:
-    """Strings of a list's text; null if it is no list."""
-    return F.from_json(text, "array<string>")
+    """Strings of a list's text, null members for ``None`` and ``nan``; null if it is no list."""
+    return F.from_json(F.regexp_replace(text, _NOTHING, "null"), "array<string>")
+
+
+def number_list(text: Column) -> Column:
+    """Numbers of a flat list's text at their positions, null where there is no finite one; null if it is no list."""
+    plain = F.translate(F.regexp_replace(text, _CALL, "$1"), "()", "[]")
+    number = lambda x: F.when(F.abs(x) < float("inf"), x)
+    return F.transform(text_list(plain), lambda x: number(x.try_cast("double")))
+
+
+def holds_any(texts: Column) -> Column:
+    """Whether a list has a member that is not null; false for a null list."""
+    return F.coalesce(F.exists(texts, lambda x: x.isNotNull()), F.lit(False))
+
+
+def stable_id(*parts: Column) -> Column:
+    """An id that depends on nothing but the parts."""
+    return F.xxhash64(*parts)
+
+
+def is_peptide(sequence: Column) -> Column:
+    """Whether a sequence consists of plain residues."""
+    return F.coalesce(sequence.rlike("^[A-Z]+$"), F.lit(False))
 
 
 def cutoff_spec(spec: str) -> tuple[str, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakloom.functions.expr import SEPARATOR
@@ -16,11 +16,20 @@ REDUCED = FULL[:7]
 MINIMAL = ("intensity", "openms_fid", "charge", "l_ms2_scans")
 
 
+def winners(edges: DataFrame, features: DataFrame) -> DataFrame:
+    """(ceid, run, feature_id, rec_id): one feature (run, feature_id, rec_id) per element and run, the one with the smallest id."""
+    joined = edges.select("ceid", "run", "feature_id").distinct().join(features.select("run", "feature_id", "rec_id"), ["run", "feature_id"])
+    return joined.groupBy("ceid", "run").agg(F.min(F.struct("feature_id", "rec_id")).alias("f")).select("ceid", "run", "f.feature_id", "f.rec_id")
+
+
 def looked_up(edges: DataFrame, features: DataFrame) -> DataFrame:
-    """(ceid, run, feature columns): one feature per element and run, the one with the smallest id."""
-    first = Window.partitionBy("ceid", "run").orderBy("feature_id", "rec_id")
-    joined = edges.select("ceid", "run", "feature_id").distinct().join(features, ["run", "feature_id"])
-    return joined.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    """(ceid, feature columns) of every winner; ``rec_id`` identifies a feature, and only ids are compared before the columns are joined."""
+    return winners(edges, features).select("ceid", "rec_id").join(features, "rec_id")
+
+
+def dangling(edges: DataFrame, features: DataFrame) -> DataFrame:
+    """(ceid, run, feature_id): edges to features that are not there."""
+    return edges.select("ceid", "run", "feature_id").distinct().join(features.select("run", "feature_id"), ["run", "feature_id"], "left_anti").select("ceid", "run", "feature_id")
 
 
 def uncovered(features: DataFrame, edges: DataFrame) -> DataFrame:
@@ -28,21 +37,21 @@ def uncovered(features: DataFrame, edges: DataFrame) -> DataFrame:
     return features.join(edges.select("run", "feature_id").distinct(), ["run", "feature_id"], "left_anti")
 
 
-def wide(long: DataFrame, key: str, runs: list[str], headers: list[str]) -> DataFrame:
+def wide(long: DataFrame, key: str, runs: list[str], headers: list[str], more: tuple[Column, ...] = ()) -> DataFrame:
     """One row per key; columns ``run_____header``, by header and then run; nulls where a run lacks the element.
-    ``long`` has one row per key and run, as ``looked_up`` gives.
+    ``long`` has one row per key and run, as ``looked_up`` gives.  more: aggregates taken along.
 
     The width is runs x headers, so ``runs`` must be a list that fits a schema; the long
     table is the form for more.
     """
-    one = long.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct(*headers)))).alias("by_run"))  # at most one row a run
-    return one.select(key, *[F.col("by_run")[r][h].alias(f"{r}{SEPARATOR}{h}") for h in headers for r in sorted(runs)])
+    one = long.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct(*headers)))).alias("by_run"), *more)  # at most one row a run
+    return one.select(key, *[F.col("by_run")[r][h].alias(f"{r}{SEPARATOR}{h}") for h in headers for r in sorted(runs)], *[c for c in one.columns if c not in (key, "by_run")])
 
 
-def bounds(long: DataFrame) -> DataFrame:
-    """Outer m/z and retention-time bounds of each element: of first isotopes and of all."""
+def bound_columns() -> tuple[Column, ...]:
+    """Aggregates of an element: outer m/z and retention-time bounds of first isotopes and of all."""
     low, high = lambda c: F.min(F.get(c, F.lit(0))), lambda c: F.max(F.get(c, F.lit(0)))
-    return long.groupBy("ceid").agg(
+    return (
         low("mz_starts").alias("first_iso_global_min_mz"), high("mz_ends").alias("first_iso_global_max_mz"),
         low("rt_starts").alias("first_iso_global_min_rt"), high("rt_ends").alias("first_iso_global_max_rt"),
         F.min(F.array_min("mz_starts")).alias("feature_global_min_mz"), F.max(F.array_max("mz_ends")).alias("feature_global_max_mz"),
@@ -50,6 +59,10 @@ def bounds(long: DataFrame) -> DataFrame:
     )
 
 
+def bounds(long: DataFrame) -> DataFrame:
+    return long.groupBy("ceid").agg(*bound_columns())
+
+
 def linked(features: DataFrame, reference: DataFrame, ppm: float, rt_window: float) -> DataFrame:
     """(feat_id, ref_id, run): features linked to a reference feature of the same charge when
     each is the other's nearest within the m/z tolerance and the time window.
@@ -65,7 +78,7 @@ def linked(features: DataFrame, reference: DataFrame, ppm: float, rt_window: flo
     pairs = cell(features).join(right, ["charge", "_t", "_m"]).where((F.abs(F.col("mz") - F.col("ref_mz")) <= F.col("ref_mz") * (ppm * 1e-6)) & (F.abs(F.col("rt") - F.col("ref_rt")) <= rt_window))
     gap = F.abs(F.col("mz") - F.col("ref_mz")) / F.col("ref_mz") / (ppm * 1e-6) + F.abs(F.col("rt") - F.col("ref_rt")) / rt_window
     pairs = pairs.withColumn("gap", gap)
-    mine = Window.partitionBy("feat_id").orderBy("gap", "ref_id")
+    mine = Window.partitionBy("run", "feat_id").orderBy("gap", "ref_id")
     theirs = Window.partitionBy("ref_id", "run").orderBy("gap", "feat_id")
     ranked = pairs.withColumn("_a", F.row_number().over(mine)).withColumn("_b", F.row_number().over(theirs))
     return ranked.where("_a = 1 AND _b = 1").select("feat_id", "ref_id", "run")

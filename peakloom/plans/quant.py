@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peakloom.functions import expr
@@ -13,8 +13,8 @@ from peakloom.operators.nested import flatten
 from peakloom.operators.intervals import in_intervals
 from peakloom.operators.quantiles import quantiles
 from peakloom.plans.quant_sql import SQL  # noqa: F401
-from peakloom.plans.records import ISOTOPES, POINTS, TRACES
-from peakloom.session import table
+from peakloom.plans.records import ISOTOPES, POINTS, TRACES, WINDOWS
+from peakloom.session import bounded, table
 
 QS = [k / 100 for k in range(101)]
 CURVE_QS = np.linspace(0, 1, 1000).tolist()  # the points of the workflow's own cutoff plot
@@ -33,8 +33,18 @@ def traces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:
-    points = F.arrays_zip("retention_time", "intensity")
-    return traces(spark, sf).select("rec_id", "iso_pos", F.size("intensity").alias("n"), expr.trapezoid(points, "retention_time", "intensity").alias("auc"))
+    return traces(spark, sf).select("rec_id", "iso_pos", F.size("intensity").alias("n"), _area("retention_time", "intensity").alias("auc"))
+
+
+def _area(x: str | Column, y: str | Column) -> Column:
+    return expr.trapezoid(F.arrays_zip(F.col(x).alias("x") if isinstance(x, str) else x.alias("x"), F.col(y).alias("y") if isinstance(y, str) else y.alias("y")), "x", "y")
+
+
+def record_areas(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(rec_id, traces (n, auc) of its isotopes in order, carried columns): a record's isotopes lie in its own row."""
+    rows = exported_points(spark, sf, nested=2, carry=carry)
+    each = F.transform(F.arrays_zip("retention_time", "intensity"), lambda t: F.struct(F.size(t.intensity).alias("n"), _area(t.retention_time, t.intensity).alias("auc")))
+    return rows.select("rec_id", each.alias("traces"), *carry)
 
 
 def trapz_auc_hof(spark, sf):
@@ -53,8 +63,7 @@ def trapz_auc_window(spark, sf):
 
 def intensity_rollup(spark, sf):
     """One intensity per feature from its traces' areas, by each method."""
-    lists = areas(spark, sf).groupBy("rec_id").agg(F.collect_list("auc").alias("a"))
-    return lists.select("rec_id", *[F.round(expr.rollup(F.col("a"), m), 6).alias(m) for m in expr.METHODS])
+    return record_areas(spark, sf).select("rec_id", *[F.round(expr.rollup(F.col("traces.auc"), m), 6).alias(m) for m in expr.METHODS])
 
 
 def hull_boxes(spark, sf):
@@ -66,51 +75,57 @@ def hull_boxes(spark, sf):
     return traces(spark, sf).select("rec_id", "iso_pos", r(low("retention_time"), "rt_start"), r(high("retention_time"), "rt_end"), r(mid, "mz_median"), r(mid - half, "mz_start"), r(mid + half, "mz_end"))
 
 
-def _features(spark, sf):
-    """Detected features once each, those delivered twice as first delivered."""
-    return table(spark, sf, "detected_features").dropDuplicates(["run", "feat_id"])
+def first_delivered(df: DataFrame, keys: list[str], at: str = "loaded_at") -> DataFrame:
+    """Rows delivered more than once as they came first."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(at).isNull(), at)).alias("first")).select(*keys, "first.*")
+
+
+def _features(spark, sf, *columns):
+    """Detected features once each, with the columns wanted."""
+    return first_delivered(table(spark, sf, "detected_features").select("run", "feat_id", *columns, "loaded_at"), ["run", "feat_id"]).drop("loaded_at")
 
 
 def feature_hills(spark, sf):
     """Hills of every feature: its monoisotopic one at position 0, then its isotopes in order."""
     hills = F.concat(F.array("monoisotope_hill_idx"), F.coalesce(expr.hill_list(F.col("isotopes")), F.array().cast("array<bigint>")))
-    return _features(spark, sf).select("run", "feat_id", F.posexplode(hills).alias("pos", "hill_idx"))
+    return _features(spark, sf, "monoisotope_hill_idx", "isotopes").select("run", "feat_id", F.posexplode(hills).alias("pos", "hill_idx"))
 
 
 def cutoff_filter_t(spark, sf):
     """Features at or above an absolute cutoff, with the share of their run at or below it."""
     kind, at = expr.cutoff_spec("t1000000")
-    rows = _features(spark, sf).where(usable(F.col("intensitysum")))
+    rows = _features(spark, sf, "intensitysum").where(usable(F.col("intensitysum")))
     return rows.groupBy("run").agg(F.count_if(F.col("intensitysum") >= at).alias("kept"), F.round(F.avg((F.col("intensitysum") <= at).cast("int")), 9).alias("q_cutoff"))
 
 
 def cutoff_filter_q(spark, sf):
     """Features at or above a quantile of their run."""
     kind, q = expr.cutoff_spec("q0.05")
-    rows = _features(spark, sf).where(usable(F.col("intensitysum"))).select("run", "feat_id", "intensitysum")
+    rows = _features(spark, sf, "intensitysum").where(usable(F.col("intensitysum"))).select("run", "feat_id", "intensitysum")
     cut = quantiles(rows, "run", "intensitysum", [q]).select("run", F.col("value").alias("cutoff"))
     return rows.join(cut, "run").where("intensitysum >= cutoff").select("run", "feat_id")
 
 
 def cutoff_curve(spark, sf):
     """Intensity at 101 quantiles of every run."""
-    rows = _features(spark, sf).where(usable(F.col("intensitysum")))
+    rows = _features(spark, sf, "intensitysum").where(usable(F.col("intensitysum")))
     return quantiles(rows, "run", "intensitysum", QS).select("run", "q", F.round("value", 6).alias("intensity"))
 
 
 def cutoff_curve_1000(spark, sf):
     """Intensity at the 1,000 quantiles of every run that the workflow plots."""
-    rows = _features(spark, sf).where(usable(F.col("intensitysum")))
+    rows = _features(spark, sf, "intensitysum").where(usable(F.col("intensitysum")))
     return quantiles(rows, "run", "intensitysum", CURVE_QS).select("run", "q", F.round("value", 6).alias("intensity"))
 
 
 def _psms(spark, sf):
-    return table(spark, sf, "identifications").dropDuplicates(["psm_id"])
+    return first_delivered(table(spark, sf, "identifications"), ["psm_id"])
 
 
 def _boxes(spark, sf):
     # where a run repeats an id, all its copies are equal but for their arrival
-    f = _features(spark, sf).where("rtstart IS NOT NULL AND rtend IS NOT NULL AND charge IS NOT NULL")
+    f = _features(spark, sf, "charge", "mz", "rtstart", "rtend").where("rtstart IS NOT NULL AND rtend IS NOT NULL AND charge IS NOT NULL")
     return idents.boxes(f.select("run", "feat_id", "charge", "mz", (F.col("rtstart") * 60).alias("a"), (F.col("rtend") * 60).alias("b")), 0.5)
 
 
@@ -163,18 +178,21 @@ def run_length_groups(spark, sf):
     return rows.groupBy("run", "stretch", "charge").agg(F.count("*").alias("n"), F.min("psm_id").alias("first_psm"))
 
 
-def _long(spark, sf):
-    f = _exported(spark, sf).select("run", "feature_id", "rec_id", *consensus.FULL)
-    floats = lambda c: F.transform(F.regexp_extract_all(F.col(c), F.lit(r"(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)"), 1), lambda x: x.try_cast("double"))
-    for new, old in (("mz_starts", "l_mz_start"), ("mz_ends", "l_mz_end"), ("rt_starts", "l_rt_start"), ("rt_ends", "l_rt_end")):
-        f = f.withColumn(new, floats(old))
-    f = f.withColumn("identified", (F.length("l_pep_ident") > 2).cast("int")).withColumn("intensity", F.when(usable(F.col("intensity")), F.col("intensity")))
-    return consensus.looked_up(table(spark, sf, "consensus_edges"), f)
+WINDOW_LISTS = {"mz_starts": "l_mz_start", "mz_ends": "l_mz_end", "rt_starts": "l_rt_start", "rt_ends": "l_rt_end"}
+
+
+def _long(spark, sf, headers=()):
+    """The feature of each element in each run: windows, whether it is identified, and the columns wanted."""
+    f = table(spark, sf, "feature_tsv").withColumns({new: expr.number_list(F.col(old)) for new, old in WINDOW_LISTS.items()})
+    f = f.withColumn("identified", expr.holds_any(expr.text_list(F.col("l_pep_ident"))).cast("int")).withColumn("intensity", F.when(usable(F.col("intensity")), F.col("intensity")))
+    own = dict.fromkeys(["run", "rec_id", *WINDOW_LISTS, "identified", *headers])
+    return consensus.looked_up(table(spark, sf, "consensus_edges"), f.select(*own, F.col("openms_fid").alias("feature_id")))
 
 
 def consensus_lookup(spark, sf):
     """The feature of each element in each run."""
-    return _long(spark, sf).select("ceid", "run", "rec_id")
+    features = table(spark, sf, "feature_tsv").select("run", F.col("openms_fid").alias("feature_id"), "rec_id")
+    return consensus.winners(table(spark, sf, "consensus_edges"), features).select("ceid", "run", "rec_id")
 
 
 def coverage_anti(spark, sf):
@@ -193,8 +211,7 @@ def _runs(spark, sf):
 
 
 def _pivot(spark, sf, headers):
-    long = _long(spark, sf)
-    return consensus.wide(long, "ceid", _runs(spark, sf), list(headers)).join(consensus.bounds(long), "ceid")
+    return consensus.wide(_long(spark, sf, headers), "ceid", _runs(spark, sf), list(headers), consensus.bound_columns())
 
 
 def consensus_pivot_full(spark, sf):
@@ -215,7 +232,7 @@ def consensus_pivot_minimal(spark, sf):
 def unpivot_intensities(spark, sf):
     """The wide table's intensities back in rows."""
     runs = _runs(spark, sf)
-    w = consensus.wide(_long(spark, sf), "ceid", runs, ["intensity"])
+    w = consensus.wide(_long(spark, sf, ["intensity"]), "ceid", runs, ["intensity"])
     rows = w.unpivot(["ceid"], [F.col(f"`{c}`") for c in w.columns[1:]], "variable", "value").where("value IS NOT NULL")
     return rows.select("ceid", expr.run_key(F.col("variable")).alias("run"), "value")
 
@@ -238,8 +255,10 @@ def missing_by_ident(spark, sf):
 
 
 def _marked_areas(spark, sf):
-    f = _exported(spark, sf).select("rec_id", (F.size("ms2_scans") > 0).alias("ms2"), (F.length("l_raw_pep_ident") > 2).alias("ident"))
-    return areas(spark, sf).join(f.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("ms2", "ident")}), "rec_id")
+    rows = record_areas(spark, sf, ("l_ms2_scans", "l_raw_pep_ident"))
+    ms2 = F.coalesce(F.size(expr.int_list(F.col("l_ms2_scans"))) > 0, F.lit(False))
+    ident = expr.holds_any(expr.text_list(F.col("l_raw_pep_ident")))
+    return rows.select(ms2.alias("ms2"), ident.alias("ident"), F.inline("traces"))
 
 
 def _curve(spark, sf):
@@ -274,7 +293,7 @@ def channel_joins(spark, sf):
     ids = _psms(spark, sf).where("fdr IS NOT NULL").groupBy("run", "fdr").agg(F.count("*").alias("psms"))
     features = table(spark, sf, "feature_tsv").groupBy("run", "fdr").agg(F.count("*").alias("features"))
     fdrs = ids.select("fdr").distinct()  # a handful of levels named in file names
-    combined = table(spark, sf, "run_manifest").select("run").distinct().crossJoin(F.broadcast(fdrs))
+    combined = table(spark, sf, "run_manifest").select("run").distinct().crossJoin(bounded(fdrs, 1_000))
     return combined.join(ids, ["run", "fdr"]).join(features, ["run", "fdr"])
 
 
@@ -294,12 +313,11 @@ def union_sources(spark, sf):
 def xic_extraction(spark, sf):
     """Trace points of a run inside each isotope's window of m/z and time, counted and summed:
     a run's peaks are its exported points, the queries the windows exported with the features."""
-    runs = table(spark, sf, "feature_tsv").select("rec_id", "run")
     log_mz = lambda c: F.log(c) * 1e6
-    cells = {c: (f"features[].{c}", (0,)) for c in ("l_mz_start", "l_mz_end", "l_rt_start", "l_rt_end")}
-    boxes = flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, ISOTOPES).join(runs, "rec_id")
+    cells = {c: (f"features[].{c}", (0,)) for c in WINDOWS}
+    boxes = flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, ISOTOPES, carry=("run",))
     boxes = boxes.withColumn("m_low", log_mz(F.col("mz_start")) - 1e-3).withColumn("m_high", log_mz(F.col("mz_end")) + 1e-3).drop("feature_pos")
-    points = exported_points(spark, sf).join(runs, "rec_id").where("mass_to_charge > 0")
+    points = exported_points(spark, sf, carry=("run",)).where("mass_to_charge > 0")
     points = points.select("run", "retention_time", "intensity", "mass_to_charge", log_mz(F.col("mass_to_charge")).alias("m"))
     hit = in_intervals(points, boxes, ["run"], "m", "m_low", "m_high", 10.0)  # 10 ppm
     inside = F.col("mass_to_charge").between(F.col("mz_start"), F.col("mz_end")) & F.col("retention_time").between(F.col("rt_start"), F.col("rt_end"))
@@ -307,7 +325,7 @@ def xic_extraction(spark, sf):
 
 
 def _linkable(spark, sf):
-    f = _features(spark, sf).where("charge IS NOT NULL AND mz > 0 AND rtapex IS NOT NULL")
+    f = _features(spark, sf, "charge", "mz", "rtapex").where("charge IS NOT NULL AND mz > 0 AND rtapex IS NOT NULL")
     return f.select("feat_id", "run", "charge", "mz", (F.col("rtapex") * 60).alias("rt"))
 
 

