@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakloom.functions.expr import SEPARATOR
+from peakloom.session import staged
 
 # The columns per run of the full wide table; the reduced one has the first seven, the minimal one four.
 FULL = (
@@ -82,3 +83,35 @@ def linked(features: DataFrame, reference: DataFrame, ppm: float, rt_window: flo
     theirs = Window.partitionBy("ref_id", "run").orderBy("gap", "feat_id")
     ranked = pairs.withColumn("_a", F.row_number().over(mine)).withColumn("_b", F.row_number().over(theirs))
     return ranked.where("_a = 1 AND _b = 1").select("feat_id", "ref_id", "run")
+
+
+def elements(features: DataFrame, ppm: float, rt_window: float) -> DataFrame:
+    """(run, feat_id, seed_run, seed_id): every feature (feat_id, run, nth: place of the run in order, charge, mz, rt) in one consensus
+    element, named by its seed, with at most one feature of a run.
+
+    In each round the seeds are the features of the earliest run that has any left around them (in the cells of time and of
+    the logarithm of m/z next to theirs), so all regions go on at once; features of other runs join the seed when each is the other's
+    nearest within the tolerances.  The rest goes to the next round, at most as many as there are runs.  Each round is written down.
+    """
+    width = 2e-6 * ppm
+    cell = ["charge", "_t", "_m"]
+    left = staged(features.withColumn("_t", F.floor(F.col("rt") / rt_window)).withColumn("_m", F.floor(F.log("mz") / width)))
+    near = lambda c: F.explode(F.array(*[F.col(c) + k for k in (-1, 0, 1)]))
+    spread = lambda df: df.withColumn("_t", near("_t")).withColumn("_m", near("_m"))
+    done = None
+    while not left.isEmpty():
+        first = spread(left.groupBy(*cell).agg(F.min("nth").alias("first"))).groupBy(*cell).agg(F.min("first").alias("first"))
+        marked = left.join(first, cell)
+        seeds = marked.where("nth = first").select(*cell, F.col("run").alias("seed_run"), F.col("feat_id").alias("seed_id"), F.col("nth").alias("seed_nth"), F.col("mz").alias("seed_mz"), F.col("rt").alias("seed_rt"))
+        gap_mz, gap_rt = F.abs(F.col("mz") - F.col("seed_mz")) / F.col("seed_mz") / (ppm * 1e-6), F.abs(F.col("rt") - F.col("seed_rt")) / rt_window
+        pairs = marked.where("nth > first").join(spread(seeds), cell).where((F.col("nth") != F.col("seed_nth")) & (gap_mz <= 1) & (gap_rt <= 1))
+        own, seed = F.struct("run", "feat_id"), F.struct("seed_run", "seed_id")
+        pairs = pairs.select("run", "feat_id", "seed_run", "seed_id", (gap_mz + gap_rt).alias("gap"))
+        mine = pairs.groupBy("run", "feat_id").agg(F.min_by(seed, F.struct("gap", seed)).alias("seed"))
+        theirs = pairs.groupBy("seed_run", "seed_id", "run").agg(F.min_by(own, F.struct("gap", own)).alias("own"))
+        theirs = theirs.select("own.run", "own.feat_id", F.struct("seed_run", "seed_id").alias("seed"))
+        linked = mine.join(theirs, ["run", "feat_id", "seed"]).select("run", "feat_id", "seed.*")
+        members = staged(seeds.select(F.col("seed_run").alias("run"), F.col("seed_id").alias("feat_id"), "seed_run", "seed_id").unionByName(linked))
+        done = members if done is None else done.unionByName(members)
+        left = staged(left.join(members.select("run", "feat_id"), ["run", "feat_id"], "left_anti"))
+    return done if done is not None else left.select("run", "feat_id", F.col("run").alias("seed_run"), F.col("feat_id").alias("seed_id"))

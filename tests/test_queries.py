@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from tests.oracle import SMALL, rows
 
-from peakloom.plans import filling, quant, records
+from peakloom.plans import filling, quant, records, workflow
 
-MODULES = [records, filling, quant]
+MODULES = [records, filling, quant, workflow]
 QUERIES = {n: q for m in MODULES for n, q in m.QUERIES.items()}
 SQL = {n: s for m in MODULES for n, s in m.SQL.items()}
 
