@@ -1,6 +1,6 @@
 """Evaluation passages inside a training corpus (problem 7).
 
-Every task turns its documents into shards of words and builds an FM-index of each: the
+Every task turns its documents into shards of words and builds one FM-index of each: the
 suffixes sorted, the Burrows-Wheeler transform in a wavelet matrix for ranks, and every
 ``SAMPLE``-th suffix position kept.  All phrases of ``length`` words of the test items are
 searched backward at once, last word first; occurrences are located by walking to the
@@ -10,41 +10,38 @@ The index's alphabet is the items' vocabulary.  Words outside it are borders, as
 ends of cells, and stretches shorter than a phrase are left out: neither can be part of
 an occurrence, so nothing is lost and the index is much smaller than the text.
 
-Documents are only mapped, never shuffled; what goes to the tasks is the items'
-phrases, in blocks of about ``BLOCK`` characters.
+Documents are only mapped, never shuffled.  The items come to the driver a partition at a time and go to the
+tasks as phrases, in blocks of about ``BLOCK`` characters; a shard is indexed once and searched for ``BLOCKS`` of
+them, and only more items than that take another pass over the corpus.
 
 Defined cases: null and empty texts hold nothing; items of fewer words than a phrase, and
 null items, are never found; every copy of a document and every repeated item counts by
-its own id; a notebook that is no JSON is read as one cell of plain text; other columns
-are ignored.
+its own id; a notebook that is no JSON is read as one cell of plain text, and one may be nested as deeply as
+it likes; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.llm.notebook import cells, located
+
 PHRASE = 12
 SHARD_WORDS = 1 << 20  # words in a shard, before borders and short stretches go
 SAMPLE = 8
-BLOCK = 4_000_000  # characters of items searched at once, so some tens of MB of phrases
+BLOCK = 4_000_000  # characters of items in a block, so some tens of MB of phrases
+BLOCKS = 8  # blocks that a task holds at a time
 
 _LETTERS = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for c in range(256))
-# The lines that begin a cell in the two plain-text layouts.
-_MARKS = {
-    "console": re.compile(r"^(?:Text|Error|Image|(?:In |Out)\[[ \d]*\]):[ \t]*$", re.M),
-    "script": re.compile(r"^# %%.*$", re.M),
-}
-
-_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|(.))", re.S)
-_BLANKS = dict.fromkeys("nrtbf", "\n")
+_WORD = re.compile("[a-z0-9]+")
 
 
 def words(text: str) -> list[bytes]:
@@ -52,38 +49,13 @@ def words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_LETTERS).split()
 
 
-def _joined(x: object) -> str:
-    return x if isinstance(x, str) else "".join(s for s in x if isinstance(s, str)) if isinstance(x, list) else ""
-
-
-def _texts(x: object) -> list[str]:
-    """Texts in nested data; the strings of a list are lines of one text."""
-    if isinstance(x, dict):
-        return [t for v in x.values() for t in _texts(v)]
-    return [_joined(x), *(t for v in x if isinstance(v, (dict, list)) for t in _texts(v))] if isinstance(x, list) else [_joined(x)]
-
-
-def _unescaped(text: str) -> str:
-    """A notebook's raw text without its JSON escapes."""
-    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else _BLANKS.get(m[2], m[2]), text) if text.lstrip()[:1] == "{" else text
-
-
-def cells(text: str, layout: str | None) -> list[str]:
-    """Sources and outputs of a document, each on its own."""
-    if layout in _MARKS:
-        return _MARKS[layout].split(text)
-    try:
-        book = json.loads(text)
-        out, errors = [], []
-        for cell in book["cells"]:
-            out.append(_joined(cell.get("source")))
-            for o in cell.get("outputs") or []:
-                out += [_joined(o.get("text")), _joined([f"{line}\n" for line in o.get("traceback") or [] if isinstance(line, str)])]
-                out += _texts(o.get("data") or {})
-                errors += _texts(o.get("evalue"))
-        return out + errors
-    except (ValueError, KeyError, TypeError, AttributeError, RecursionError):
-        return [_unescaped(text)]
+def word_places(text: str) -> list[tuple[int, int]]:
+    """Where the same words stand in the text."""
+    low = text.lower()
+    if len(low) == len(text):
+        return [m.span() for m in _WORD.finditer(low)]
+    own = [k for k, c in enumerate(text) for _ in c.lower()]  # a character may become several
+    return [(own[a], own[b - 1] + 1) for a, b in (m.span() for m in _WORD.finditer("".join([c.lower() for c in text])))]
 
 
 def suffixes(seq: np.ndarray) -> np.ndarray:
@@ -178,105 +150,168 @@ class FmIndex:
         return out
 
 
-class Phrases:
-    """All phrases of a block of items and the words they consist of."""
-
-    def __init__(self, length: int, ids: dict[bytes, int], rows: np.ndarray, items: list[list[int]]):
-        self.length, self.ids, self.rows, self.items = length, ids, rows, items
+class Shard:
+    """The long stretches of item words in some documents, indexed once."""
 
-    @classmethod
-    def of(cls, items: list[tuple[int, list[bytes]]], length: int) -> "Phrases":
-        ids = {w: k + 2 for k, w in enumerate(sorted({w for _, ws in items for w in ws}))}  # 1 is the border
-        found: dict[tuple, set[int]] = {}
-        for item, ws in items:
-            own = [ids[w] for w in ws]
-            for k in range(len(own) - length + 1):
-                found.setdefault(tuple(own[k : k + length]), set()).add(item)
-        return cls(length, ids, np.array(list(found), dtype=np.int32).reshape(len(found), length), [sorted(v) for v in found.values()])
-
-    def search(self, docs: list[tuple[int, list[list[bytes]]]]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(item, doc, cell, first word, word after the last) of every span in a shard."""
-        get, sizes, owner = self.ids.get, [], []
+    def __init__(self, docs: list[list[list[bytes]]], ids: dict[bytes, int], length: int):
+        get, sizes, self.owner = ids.get, [], []
         flat: list[int] = []
-        for doc, parts in docs:
+        for doc, parts in enumerate(docs):
             for cell, ws in enumerate(parts):
                 flat += [get(w, 1) for w in ws]
                 flat.append(1)
                 sizes.append(len(ws) + 1)
-                owner.append((doc, cell))
+                self.owner.append((doc, cell))
         seq = np.array(flat, dtype=np.int64)
         border = np.concatenate([[-1], np.flatnonzero(seq == 1)])
         gap = np.diff(border) - 1
-        long = gap >= self.length
+        long = gap >= length
         starts, gaps = border[:-1][long] + 1, gap[long]
-        if not len(starts):
+        self.length, self.index = length, None
+        if len(starts):  # long stretches only, each followed by one border
+            ends = np.cumsum(gaps + 1)
+            self.source = np.arange(ends[-1]) + np.repeat(starts - (ends - gaps - 1), gaps + 1)
+            held = seq[self.source]
+            self.present = np.bincount(held, minlength=len(ids) + 2) > 0
+            self.index = FmIndex(held, len(ids) + 2)
+            self.cell_start = np.concatenate([[0], np.cumsum(sizes)])
+
+    def search(self, rows: np.ndarray, first: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(item, document's place, cell, first word, word after the last) of every span of phrases ``rows``, whose items
+        are items[first[k] : first[k + 1]]."""
+        if self.index is None or not len(rows):
             return
-        # long stretches only, each followed by one border
-        ends = np.cumsum(gaps + 1)
-        source = np.arange(ends[-1]) + np.repeat(starts - (ends - gaps - 1), gaps + 1)
-        index = FmIndex(seq[source], len(self.ids) + 2)
-        low, high = index.search(self.rows)
+        which = np.flatnonzero(self.present[rows[:, -1]] & self.present[rows[:, 0]])
+        low, high = self.index.search(rows[which])
         hits = high - low
-        which = np.repeat(np.arange(len(hits)), hits)
-        row = np.arange(hits.sum()) - np.repeat(np.cumsum(hits) - hits, hits) + low[which]
-        at = source[index.locate(row)]
-        cell_start = np.concatenate([[0], np.cumsum(sizes)])
-        cell = np.searchsorted(cell_start, at, side="right") - 1
-        seen = sorted((item, int(c), int(a)) for p, c, a in zip(which, cell, at) for item in self.items[p])
-        open_ = None
-        for item, c, a in seen:
-            if open_ and open_[:2] == (item, c) and a <= open_[3]:
-                open_ = (item, c, open_[2], a + self.length)
-                continue
-            if open_:
-                yield self._row(open_, owner, cell_start)
-            open_ = (item, c, a, a + self.length)
-        if open_:
-            yield self._row(open_, owner, cell_start)
-
-    @staticmethod
-    def _row(span: tuple, owner: list, cell_start: np.ndarray) -> tuple[int, int, int, int, int]:
-        item, c, start, end = span
-        base = int(cell_start[c])
-        return (item, *owner[c], start - base, end - base)
-
-
-_SPAN = "item_id bigint, doc_id bigint, cell int, first_word int, end_word int"
-
-
-def spans(docs: DataFrame, doc: tuple[str, str, str], items: DataFrame, item: tuple[str, str], length: int = PHRASE, shard: int = SHARD_WORDS) -> DataFrame:
-    """(item_id, doc_id, cell, first_word, end_word) of every passage of at least ``length``
-    words that an item shares with one cell of a document.  doc: columns of id, text and layout; item: id and text."""
-    spark = docs.sparkSession
+        of = np.repeat(which, hits)
+        row = np.arange(hits.sum()) - np.repeat(np.cumsum(hits) - hits, hits) + np.repeat(low, hits)
+        at = self.source[self.index.locate(row)]
+        many = first[of + 1] - first[of]
+        item = items[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[of], many)]
+        at = np.repeat(at, many)
+        cell = np.searchsorted(self.cell_start, at, side="right") - 1
+        order = np.lexsort((at, cell, item))
+        item, cell, at = item[order], cell[order], at[order]
+        if not len(at):
+            return
+        new = np.concatenate([[True], (item[1:] != item[:-1]) | (cell[1:] != cell[:-1]) | (at[1:] > at[:-1] + self.length)])
+        begins = np.flatnonzero(new)
+        ends = np.concatenate([begins[1:], [len(at)]]) - 1
+        base = self.cell_start[cell[begins]]
+        for i, c, a, b in zip(item[begins].tolist(), cell[begins].tolist(), (at[begins] - base).tolist(), (at[ends] + self.length - base).tolist()):
+            yield (i, *self.owner[c], a, b)
+
+
+def phrases(items: list[tuple[int, list[bytes]]], length: int, ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct phrases of items as rows of word numbers (new words are added to ``ids``; 1 is the border), and
+    the items of each: those of phrase k at first[k] to first[k + 1]."""
+    rows, owner = [], []
+    for item, ws in items:
+        own = [ids.setdefault(w, len(ids) + 2) for w in ws]
+        if len(own) >= length:
+            rows.append(np.lib.stride_tricks.sliding_window_view(np.array(own, dtype=np.int32), length))
+            owner.append(np.full(len(own) - length + 1, item, dtype=np.int64))
+    if not rows:
+        return np.empty((0, length), np.int32), np.zeros(1, np.int64), np.empty(0, np.int64)
+    table, owner = np.concatenate(rows), np.concatenate(owner)
+    order = np.lexsort((owner, *table.T[::-1]))
+    table, owner = table[order], owner[order]
+    new = np.concatenate([[True], (table[1:] != table[:-1]).any(axis=1)])
+    pair = new | np.concatenate([[True], owner[1:] != owner[:-1]])  # an item that repeats a phrase counts once
+    at = np.cumsum(pair) - 1
+    return table[new], np.concatenate([at[new], [pair.sum()]]), owner[pair]
+
+
+def _sent(items: DataFrame, item: tuple[str, str], length: int, block: int) -> Iterator[tuple[list[Broadcast], Broadcast]]:
+    """Blocks of phrases and the vocabulary, for one pass over the corpus at a time."""
+    context = items.sparkSession.sparkContext
     own = items.select(F.col(item[0]).cast("bigint"), item[1]).dropna()
-    blocks = max(1, -(-(own.agg(F.sum(F.length(item[1]))).first()[0] or 0) // BLOCK))
+    held, size, ids, blocks = [], 0, {}, []
+    for key, text in own.toLocalIterator():
+        held.append((key, words(text)))
+        size += len(text)
+        if size >= block:
+            blocks.append(context.broadcast(phrases(held, length, ids)))
+            held, size = [], 0
+            if len(blocks) == BLOCKS:
+                yield blocks, context.broadcast(ids)
+                ids, blocks = {}, []
+    if held or blocks:
+        blocks.append(context.broadcast(phrases(held, length, ids)))
+        yield blocks, context.broadcast(ids)
+
+
+def _found(docs: DataFrame, doc: tuple[str, str, str], items: DataFrame, item: tuple[str, str], length: int, shard: int, block: int, schema: str, rows) -> DataFrame:
+    """Union of the passes: ``rows`` makes rows of the schema of a document (key, text, layout) and its spans (item, cell, first word, end word)."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = [{"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[f.split()[1]] for f in schema.split(", ")]
     out = None
-    for block in range(blocks):
-        part = own if blocks == 1 else own.where(F.pmod(F.xxhash64(item[0]), F.lit(blocks)) == block)
-        known = Phrases.of([(k, words(t)) for k, t in part.collect()], length)
-        sent = spark.sparkContext.broadcast((length, known.ids, known.rows, known.items))  # about BLOCK characters
+    for blocks, vocabulary in _sent(items, item, length, block):
 
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            phrases, held, size = Phrases(*sent.value), [], 0
+        def search(batches: Iterator[pa.RecordBatch], blocks=blocks, vocabulary=vocabulary) -> Iterator[pa.RecordBatch]:
+            ids, held, size = vocabulary.value, [], 0
 
-            def found() -> pa.RecordBatch:
-                rows = list(phrases.search(held))
-                columns = list(zip(*rows)) if rows else [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["item_id", "doc_id", "cell", "first_word", "end_word"])
+            def found() -> Iterator[pa.RecordBatch]:
+                index, spans = Shard([parts for *_, parts in held], ids, length), {}
+                for sent in blocks:
+                    for i, d, *span in index.search(*sent.value):
+                        spans.setdefault(d, []).append((i, *span))
+                made = [row for d in sorted(spans) for row in rows(*held[d][:3], sorted(spans[d]))]
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), kinds)], names)
 
             for key, text, layout in chain.from_iterable(zip(*(c.to_pylist() for c in b.columns)) for b in batches):
-                if not text or not len(phrases.rows):
+                if not text or not ids:
                     continue
                 parts = [words(c) for c in cells(text, layout)]
-                held.append((key, parts))
+                held.append((key, text, layout, parts))
                 size += sum(map(len, parts))
                 if size >= shard:
-                    yield found()
+                    yield from found()
                     held, size = [], 0
             if held:
-                yield found()
+                yield from found()
 
-        one = docs.select(F.col(doc[0]).cast("bigint"), doc[1], doc[2]).mapInArrow(search, _SPAN)
+        one = docs.select(F.col(doc[0]).cast("bigint"), doc[1], doc[2]).mapInArrow(search, schema)
         out = one if out is None else out.unionByName(one)
-    return out
+    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+
+
+_SPAN = "item_id bigint, doc_id bigint, cell int, first_word int, end_word int, first_char int, end_char int"
+
+
+def spans(docs: DataFrame, doc: tuple[str, str, str], items: DataFrame, item: tuple[str, str], length: int = PHRASE, shard: int = SHARD_WORDS, block: int = BLOCK) -> DataFrame:
+    """(item_id, doc_id, cell, first_word, end_word, first_char, end_char) of every passage of at least ``length`` words that an item shares with one
+    cell of a document, in words and in characters of the cell.  doc: columns of id, text and layout; item: id and text."""
+
+    def rows(key: int, text: str, layout: str | None, found: list[tuple]) -> Iterator[tuple]:
+        own, places = cells(text, layout), {}
+        for i, cell, a, b in found:
+            if cell not in places:
+                places[cell] = word_places(own[cell])
+            yield i, key, cell, a, b, places[cell][a][0], places[cell][b - 1][1]
+
+    return _found(docs, doc, items, item, length, shard, block, _SPAN, rows)
+
+
+def removed(docs: DataFrame, doc: tuple[str, str, str], items: DataFrame, item: tuple[str, str], length: int = PHRASE, shard: int = SHARD_WORDS, block: int = BLOCK) -> DataFrame:
+    """(doc_id, removed, text) of every affected document: its raw text without the leaked passages, all else as it was, byte for byte, and
+    how many characters went.  Of passages of several items that overlap each character goes once.  With more than ``BLOCKS`` blocks of items a document may
+    have a row for each pass, which removes that pass's passages."""
+
+    def rows(key: int, text: str, layout: str | None, found: list[tuple]) -> Iterator[tuple]:
+        own, places, gone = located(text, layout), {}, set()
+        for _, cell, a, b in found:
+            if cell not in places:
+                places[cell] = word_places(own[cell].text)
+            gone.update(own[cell].spans(places[cell][a][0], places[cell][b - 1][1]))
+        left, at = [], 0
+        for a, b in sorted(gone):
+            if b > at:
+                left.append(text[at : max(at, a)])
+                at = b
+        kept = "".join([*left, text[at:]])
+        yield key, len(text) - len(kept), kept
+
+    return _found(docs, doc, items, item, length, shard, block, "doc_id bigint, removed int, text string", rows)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakloom.llm import cutoff, encodings, leakage, nearest, packing, percentiles
-from peakloom.session import table
+from peakloom.session import staged, table
 
 PCTS = [10, 50, 90]
 TOLERANCE_S = 30.0
@@ -76,11 +76,35 @@ def p6_containers(spark: SparkSession, sf: str) -> DataFrame:
     return p6_packed(spark, sf).groupBy("container").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"))
 
 
+def p6_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """One row: documents placed, and what must be none: documents cut though they fit, wrong numbers of pieces, overfull containers, gaps in them."""
+    rows = staged(p6_packed(spark, sf))
+    documents = rows.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"))
+    none = lambda c: F.count_if(c).alias
+    cut = (F.col("tokens") <= CAPACITY) & (F.col("pieces") > 1)
+    per_document = documents.agg(F.count("*").alias("documents"), none(cut)("cut_though_small"), none(F.col("pieces") != F.greatest(F.lit(1), F.ceil(F.col("tokens") / CAPACITY)))("wrong_pieces"))
+    # pieces without tokens take no room, so their offsets say nothing
+    containers = rows.where("tokens > 0").groupBy("container").agg(F.sum("tokens").alias("tokens"), F.max(F.col("at") + F.col("tokens")).alias("end"), F.min("at").alias("start"))
+    per_container = containers.agg(none(F.col("end") > CAPACITY)("overfull"), none((F.col("start") != 0) | (F.col("end") != F.col("tokens")))("gaps"))
+    return per_document.crossJoin(per_container)  # one row each
+
+
 def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Passages shared by an item and a cell of a document, in words of the cell."""
     return leakage.spans(table(spark, sf, "documents"), ("doc_id", "text", "layout"), table(spark, sf, "eval_items"), ("item_id", "text"))
 
 
+def p7_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of leaked item and document with the number of passages they share and their words."""
+    words = F.col("end_word") - F.col("first_word")
+    return p7_spans(spark, sf).groupBy("item_id", "doc_id").agg(F.count("*").alias("passages"), F.sum(words).alias("words"), F.max(words).alias("longest"))
+
+
+def p7_removed(spark: SparkSession, sf: str) -> DataFrame:
+    """Affected documents without the leaked passages, and how many characters went."""
+    return leakage.removed(table(spark, sf, "documents"), ("doc_id", "text", "layout"), table(spark, sf, "eval_items"), ("item_id", "text"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return p7_spans(spark, sf).select("item_id", "doc_id").distinct()
 
@@ -109,9 +133,12 @@ def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "p6_packed": p6_packed,
     "p6_containers": p6_containers,
+    "p6_checks": p6_checks,
     "p7_found": p7_found,
     "p7_spans": p7_spans,
     "p7_items": p7_items,
+    "p7_passages": p7_passages,
+    "p7_removed": p7_removed,
     "p8_found": p8_found,
     "p8_restored": p8_restored,
     "p8_spans": p8_spans,
@@ -152,7 +179,32 @@ _PCT = f"""WITH u AS (SELECT run, intensity FROM feature_tsv
 p AS ({_PCT}) """
 _LEVEL = _PCT + "SELECT run, pct::INT AS pct, floor(10 * log10(v) + 0.5)::INT AS level_db FROM p"
 
+_JOINED = lambda x: f"CASE json_type({x}) WHEN 'ARRAY' THEN array_to_string(list_transform(list_filter(json_extract({x}, '$[*]'), lambda e: json_type(e) = 'VARCHAR'), lambda e: e->>'$'), '') WHEN 'VARCHAR' THEN {x}->>'$' END"
+_SPANS = f"""WITH book AS (SELECT doc_id, unnest(json_extract(text, '$.cells[*]')) AS c FROM documents WHERE layout = 'ipynb' AND json_valid(text)),
+o AS (SELECT doc_id, unnest(json_extract(c, '$.outputs[*]')) AS o FROM book),
+txt AS (SELECT doc_id, {_JOINED("c->'source'")} AS t FROM book
+  UNION ALL SELECT doc_id, {_JOINED("o->'text'")} FROM o UNION ALL SELECT doc_id, {_JOINED("o->'evalue'")} FROM o
+  UNION ALL SELECT doc_id, array_to_string(o->>'$.traceback[*]', chr(10)) FROM o
+  UNION ALL SELECT doc_id, {_JOINED("x")} FROM (SELECT doc_id, json_extract(o, '$.data."' || unnest(json_keys(o, '$.data')) || '"') AS x FROM o WHERE json_type(o, '$.data') = 'OBJECT')
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '(?m)^(?:Text|Error|Image|(?:In |Out)\\[[ \\d]*\\]):[ \\t]*$')) FROM documents WHERE layout = 'console'
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '(?m)^# %%.*$')) FROM documents WHERE layout = 'script'),
+cell AS (SELECT doc_id, row_number() OVER () AS cell, w FROM (SELECT doc_id, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM txt) WHERE len(w) >= 12),
+word AS (SELECT doc_id, cell, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM cell),
+gram AS (SELECT doc_id, cell, k, g FROM (SELECT *, string_agg(word, ' ') OVER w AS g, count(*) OVER w AS n FROM word WINDOW w AS (PARTITION BY cell ORDER BY k ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)) WHERE n = 12),
+item AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM eval_items))),
+hit AS (SELECT item_id, doc_id, cell, k FROM gram JOIN item USING (g)),
+mark AS (SELECT *, sum(CASE WHEN k <= before + 12 THEN 0 ELSE 1 END) OVER (PARTITION BY item_id, cell ORDER BY k) AS span FROM (SELECT *, lag(k) OVER (PARTITION BY item_id, cell ORDER BY k) AS before FROM hit)),
+spans AS (SELECT item_id, doc_id, cell, max(k) - min(k) + 12 AS words FROM mark GROUP BY item_id, doc_id, cell, span)
+"""
+
+_ITEMS = _SPANS + """, each AS (SELECT item_id, doc_id, max(words) AS words FROM spans GROUP BY item_id, doc_id)
+"""
+
 SQL = {
+    "p6_checks": "SELECT count(*)::BIGINT AS documents, 0::BIGINT AS cut_though_small, 0::BIGINT AS wrong_pieces, 0::BIGINT AS overfull, 0::BIGINT AS gaps FROM documents",
+    "p7_found": _SPANS + "SELECT DISTINCT item_id, doc_id FROM spans",
+    "p7_items": _ITEMS + "SELECT item_id, count(*) AS documents, max(words)::INT AS longest FROM each GROUP BY item_id",
+    "p7_passages": _ITEMS + "SELECT item_id, doc_id, count(*) AS passages, sum(words)::BIGINT AS words, max(words)::INT AS longest FROM spans GROUP BY item_id, doc_id",
     "p2_found": _ONE + "SELECT one.run, feat_id FROM one JOIN cut ON one.run = cut.run AND s >= cutoff",
     "p2_cutoffs": _ONE + "SELECT run, cutoff, counted, kept FROM cut",
     "p3_found": _NEAR + "SELECT psm_id, feat_id FROM near",

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from peakloom.llm import encodings, leakage, packing
+from peakloom.llm import encodings, leakage, notebook, packing
 from peakloom.llm.located import HALF, Located, pieces
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -79,7 +79,7 @@ def test_index_finds_all_places():
 def brute_leaks(docs, items, length):
     out = set()
     for d, text, layout in docs:
-        for cell in leakage.cells(text, layout) if text else []:
+        for cell in notebook.cells(text, layout) if text else []:
             grams = {tuple(ws[k : k + length]) for ws in [leakage.words(cell)] for k in range(len(ws) - length + 1)}
             for i, t in items:
                 ws = leakage.words(t or "")
@@ -104,9 +104,23 @@ def test_leaks_match_brute_force(spark):
     docs += [(500, None, "ipynb"), (501, "", "script"), (502, docs[0][1], docs[0][2]), (503, "{broken " + docs[3][1], "ipynb"), (504, docs[4][1], None), (505, '{"cells": null}', "ipynb"), (506, "[1]", "ipynb")]
     d, i = spark.createDataFrame(docs, "doc_id bigint, text string, layout string"), spark.createDataFrame(items, "item_id bigint, text string")
     want = brute_leaks(docs, items, 5)
-    for shard in (50, 1 << 20):
-        spans = leakage.spans(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 5, shard).collect()
+    texts = {d: (t, layout) for d, t, layout in docs}
+    for shard, block in ((50, 1 << 20), (1 << 20, 1 << 20), (1 << 20, 300)):
+        spans = leakage.spans(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 5, shard, block).collect()
         assert {(r.item_id, r.doc_id) for r in spans} == want and all(r.end_word - r.first_word >= 5 for r in spans)
+        for r in spans:
+            cell = notebook.cells(*texts[r.doc_id])[r.cell]
+            assert leakage.words(cell[r.first_char : r.end_char]) == leakage.words(cell)[r.first_word : r.end_word]
+    left = leakage.removed(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 5).collect()
+    assert {r.doc_id for r in left} == {x for _, x in want} and len(left) == len({x for _, x in want})
+    for r in left:
+        text, layout = texts[r.doc_id]
+        assert len(r.text) + r.removed == len(text) and r.removed > 0 and len(notebook.cells(r.text, layout)) == len(notebook.cells(text, layout))
+        if layout == "ipynb" and r.doc_id < 500:
+            assert len(json.loads(r.text)["cells"]) == 2
+    again = spark.createDataFrame([(r.doc_id, r.text, texts[r.doc_id][1]) for r in left], "doc_id bigint, text string, layout string")
+    grown = {(r.item_id, r.doc_id) for r in leakage.spans(again, ("doc_id", "text", "layout"), i, ("item_id", "text"), 8).collect()}
+    assert len(grown) < len(want) / 10  # only words that have met by a removal make new passages
     assert leakage.spans(d, ("doc_id", "text", "layout"), i.where("false"), ("item_id", "text"), 5).count() == 0
     assert leakage.spans(d.where("false"), ("doc_id", "text", "layout"), i, ("item_id", "text"), 5).count() == 0
 
@@ -116,7 +130,33 @@ def test_spans_are_merged(spark):
     d = spark.createDataFrame([(1, "In [1]:\nx " + item + " y\n\nText:\nb c d e f", "console")], "doc_id bigint, text string, layout string")
     i = spark.createDataFrame([(7, item)], "item_id bigint, text string")
     got = sorted(tuple(r) for r in leakage.spans(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 5).collect())
-    assert got == [(7, 1, 1, 1, 16), (7, 1, 2, 0, 5)]
+    assert got == [(7, 1, 1, 1, 16, 3, 32), (7, 1, 2, 0, 5, 1, 10)]
+    left = leakage.removed(d, ("doc_id", "text", "layout"), i, ("item_id", "text"), 5).collect()
+    assert [tuple(r) for r in left] == [(1, 38, "In [1]:\nx  y\n\nText:\n")]
+
+
+def test_words_know_their_place():
+    for text in ("Über İSTANBUL a1-B2 ﬀ x", "K2 ſ", "", "--"):
+        assert [text[a:b].lower() for a, b in leakage.word_places(text)] == [w.decode() for w in leakage.words(text)] or "İ" in text
+        assert len(leakage.word_places(text)) == len(leakage.words(text))
+
+
+CELLS = ['a\nb "é" 😀', "c", "d", "", "", "", "e", "f", "", "", "h\ni\n", "", "g", ""]
+
+
+def test_cells_know_their_place():
+    book = {"cells": [{"source": ["a\n", 'b "é" \U0001f600']}, {"source": "c", "outputs": [{"text": ["d", 3]}, {"data": {"x": {"y": ["e", ["f"]]}, "z": 5}, "evalue": "g"}, {"traceback": ["h", None, "i"]}]}]}
+    deep = '{"cells": [{"source": "s", "metadata": ' + "[" * 20_000 + "]" * 20_000 + "}]}"
+    texts = [(json.dumps(book), "ipynb"), (json.dumps(book, ensure_ascii=False, indent=1), None), (deep, "ipynb"), ("{broken \\u00e9", "ipynb"), ("x", None), ('{"cells": [1]}', "ipynb"), ('{"cells": [{"source": "s"},]}', "ipynb"), ("# %% a\nb\n# %%\nc", "script")]
+    for text, layout in texts:
+        own = notebook.located(text, layout)
+        assert [c.text for c in own] == notebook.cells(text, layout)
+        for c in own:
+            for k, char in enumerate(c.text):
+                for a, b in c.spans(k, k + 1):
+                    assert "".join(p[0] for p in pieces(text, a, b)) == char or text[a:b] == char
+    assert notebook.cells(*texts[0]) == CELLS
+    assert notebook.cells(deep, "ipynb") == ["s"]
 
 
 CLEAN = {
