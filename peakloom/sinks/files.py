@@ -11,7 +11,7 @@ from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakloom.functions.expr import SEPARATOR
@@ -31,20 +31,62 @@ def delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.select(*flat).write.mode("overwrite").csv(path, sep=sep, header=True, quote='"', escape='"')
 
 
-def feature_xml(df: DataFrame, path: str) -> None:
-    """Features (feature_id, rt, mz, intensity, charge) as XML rows."""
+def feature_xml(df: DataFrame, path: str, unassigned: DataFrame | None = None) -> None:
+    """Features (feature_id, rt, mz, intensity, charge) as XML rows, with what else there is of: hulls (boxes of rt and m/z), idents (rt, mz, score_type, proteins and hits
+    of score, sequence, charge, raw_peptide).  unassigned: identifications of no feature, in the same form, into ``path-unassigned``."""
     dim = lambda d, c: F.struct(F.lit(d).alias("_dim"), F.col(c).alias("_VALUE"))
-    rows = df.select(F.col("feature_id").alias("_id"), F.array(dim("0", "rt"), dim("1", "mz")).alias("position"), "intensity", "charge")
-    rows.write.mode("overwrite").format("xml").option("rootTag", "featureList").option("rowTag", "feature").save(path)
-
-
-def layout(columns: list[str]) -> list[tuple[str, list[str]]]:
-    """Report groups in order: each header with its runs, then the columns of no run."""
-    groups: dict[str, list[str]] = {}
-    for c in columns:
-        groups.setdefault(c.split(SEPARATOR, 1)[1] if SEPARATOR in c else "", []).append(c)
-    rest = groups.pop("", [])
-    return [("element", rest[:1]), *groups.items(), ("bounds", rest[1:])] if rest else list(groups.items())
+    columns = [F.col("feature_id").alias("_id"), F.array(dim("0", "rt"), dim("1", "mz")).alias("position"), F.col("intensity"), F.col("charge")]
+    if "hulls" in df.columns:
+        corner = lambda x, y: F.struct(x.alias("_x"), y.alias("_y"))
+        corners = lambda h: F.array(corner(h.rt_start, h.mz_start), corner(h.rt_end, h.mz_start), corner(h.rt_end, h.mz_end), corner(h.rt_start, h.mz_end))
+        columns.append(F.transform("hulls", lambda h, k: F.struct(k.alias("_nr"), corners(h).alias("pt"))).alias("convexhull"))
+    if "idents" in df.columns:
+        columns.append(F.transform("idents", _ident).alias("PeptideIdentification"))
+    df.select(*columns).write.mode("overwrite").format("xml").option("rootTag", "featureList").option("rowTag", "feature").save(path)
+    if unassigned is not None:
+        rows = unassigned.select(_ident(F.struct("*")).alias("i")).select("i.*")
+        rows.write.mode("overwrite").format("xml").option("rootTag", "featureMap").option("rowTag", "UnassignedPeptideIdentification").save(f"{path}-unassigned")
+
+
+def _ident(i: Column) -> Column:
+    user = lambda name, value: F.array(F.struct(F.lit("string").alias("_type"), F.lit(name).alias("_name"), value.alias("_value")))
+    hit = lambda h: F.struct(h.score.alias("_score"), h.sequence.alias("_sequence"), h.charge.alias("_charge"), user("raw_peptide", h.raw_peptide).alias("UserParam"))
+    hits = F.transform(i["hits"], hit)
+    return F.struct(i["score_type"].alias("_score_type"), i["rt"].alias("_RT"), i["mz"].alias("_MZ"), hits.alias("PeptideHit"), user("proteins", i["proteins"]).alias("UserParam"))
+
+
+# The groups of the report in order, each with its column (of every run, or the element's own), its label and its width in pixels.
+REPORT = (
+    ("openms_ceid", "Identifier", 128),
+    ("intensity", "Intensities", 96),
+    ("l_pep_ident", "Peptide identification", 96),
+    ("l_raw_pep_ident", "Modified Peptide identification", 96),
+    ("l_prot_ident", "Protein identification", 96),
+    ("charge", "Charge", 96),
+    ("l_ms2_scans", "MS2_Scans", 96),
+    ("feature_global_min_mz", "Feature_Global_mz_start", None),
+    ("feature_global_max_mz", "Feature_Global_mz_end", None),
+    ("feature_global_min_rt", "Feature_Global_rt_start", None),
+    ("feature_global_max_rt", "Feature_Global_rt_end", None),
+    ("first_iso_global_min_mz", "Feature_First_Isotope_mz_start", None),
+    ("first_iso_global_max_mz", "Feature_First_Isotope_mz_end", None),
+    ("first_iso_global_min_rt", "Feature_First_Isotope_rt_start", None),
+    ("first_iso_global_max_rt", "Feature_First_Isotope_rt_end", None),
+    ("openms_fid", "Feauture_IDs", None),
+    ("l_mz_start", "Single_Isotope_mz_start", None),
+    ("l_mz_end", "Single_Isotope_mz_end", None),
+    ("l_rt_start", "Single_Isotope_rt_start", None),
+    ("l_rt_end", "Single_Isotope_rt_end", None),
+    ("l_intensities", "XICs_intensities", None),
+    ("l_retention_times", "XICs_retention_times", None),
+    ("l_mass_to_charges", "XICs_mass_to_charges", None),
+)
+
+
+def layout(columns: list[str]) -> list[tuple[str, list[str], int | None]]:
+    """Report groups that the table has columns of: label, columns, width; other columns are left out."""
+    own = [(label, [c for c in columns if c == name or c.endswith(SEPARATOR + name)], width) for name, label, width in REPORT]
+    return [g for g in own if g[1]]
 
 
 def _letters(k: int) -> str:
@@ -65,18 +107,21 @@ def _cell(row: int, col: int, value: object, style: int) -> str:
     return f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
 
 
-def _sheet(rows: Iterable, columns: list[str], groups: list[tuple[str, list[str]]]) -> Iterable[str]:
-    yield '<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+def _sheet(rows: Iterable, columns: list[str], groups: list[tuple[str, list[str], int | None]]) -> Iterable[str]:
+    yield '<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+    widths = [width for _, own, width in groups for _ in own]
+    if any(widths):
+        yield "<cols>" + "".join(f'<col min="{k}" max="{k}" width="{w / 7:.2f}" customWidth="1"/>' for k, w in enumerate(widths, 1) if w) + "</cols>"
+    yield "<sheetData>"
     last = set()
     merges, at = [], 0
     heads = []
-    for name, own in groups:
-        if own:
-            heads.append((at, name))
-            if len(own) > 1:
-                merges.append(f"{_letters(at)}1:{_letters(at + len(own) - 1)}1")
-            at += len(own)
-            last.add(at - 1)
+    for name, own, _ in groups:
+        heads.append((at, name))
+        if len(own) > 1:
+            merges.append(f"{_letters(at)}1:{_letters(at + len(own) - 1)}1")
+        at += len(own)
+        last.add(at - 1)
     yield '<row r="1">' + "".join(_cell(1, c, name, 1) for c, name in heads) + "</row>"
     yield '<row r="2">' + "".join(_cell(2, c, name.split(SEPARATOR)[0], 1 + (c in last)) for c, name in enumerate(columns)) + "</row>"
     for r, row in enumerate(rows, 3):
@@ -113,7 +158,7 @@ def xlsx(df: DataFrame, folder: str, rows: int = SHEET_ROWS - 2) -> list[str]:
     A text longer than a cell may be raises.
     """
     groups = layout(df.columns)
-    columns = [c for _, own in groups for c in own]
+    columns = [c for _, own, _ in groups for c in own]
     os.makedirs(folder, exist_ok=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -79,6 +79,21 @@ def search_parameters(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(m(1).alias("name"), m(2).alias("value")).where("name <> ''")
 
 
+def parameter_sections(spark: SparkSession, path: str) -> DataFrame:
+    """(section, nth, line): the lines of the ``[SECTION]`` tables that end a parameter file, comments left out; each file is read whole."""
+    parts = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"(?m)^[ \t]*\[(?=[^\]\n]*\][ \t]*\r?$)")).alias("part")).where(F.col("part").rlike(r"^[^\]\n]*\][ \t]*\r?(\n|$)"))
+    lines = parts.select(F.substring_index("part", "]", 1).alias("section"), F.posexplode(F.split(F.regexp_replace("part", r"^[^\n]*\n?", ""), r"\r?\n")).alias("nth", "line"))
+    return lines.withColumn("line", F.trim(F.regexp_replace("line", "#.*$", ""))).where("line <> ''")
+
+
+def sp_embl(spark: SparkSession, path: str) -> DataFrame:
+    """(entry, accession, description, sequence) of SP-EMBL texts: lines that begin with a code, entries that end with ``//``."""
+    entries = spark.read.option("lineSep", "\n//").text(path).where(F.col("value").rlike(r"(?m)^ID   "))
+    field = lambda code, pattern: F.regexp_extract("value", rf"(?m)^{code}   {pattern}", 1)
+    residues = F.regexp_extract("value", r"(?s)\nSQ   [^\n]*\n(.*)$", 1)
+    return entries.select(field("ID", r"(\S+)").alias("entry"), field("AC", r"([^;\s]+)").alias("accession"), field("DE", r"(.*?)\s*$").alias("description"), F.regexp_replace(residues, r"[^A-Za-z]", "").alias("sequence"))
+
+
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """(header, sequence)."""
     entries = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")

@@ -40,9 +40,30 @@ def ms2_scans(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_HIT = f"struct<_score: double, _sequence: string, _charge: int, UserParam: {_USER}>"
+_IDENT = f"_score_type string, _RT double, _MZ double, PeptideHit array<{_HIT}>, UserParam {_USER}"
+_INNER = f"struct<_score_type: string, _RT: double, _MZ: double, PeptideHit: array<{_HIT}>, UserParam: {_USER}>"
+
+
+def _user(params: Column, name: str) -> Column:
+    return F.get(F.filter(params, lambda p: p["_name"] == name), F.lit(0))["_value"]
+
+
+def _ident(i: Column) -> Column:
+    """(rt, mz, score_type, proteins, hits) of an identification."""
+    hit = lambda h: F.struct(h["_score"].alias("score"), h["_sequence"].alias("sequence"), h["_charge"].alias("charge"), _user(h["UserParam"], "raw_peptide").alias("raw_peptide"))
+    return F.struct(i["_RT"].alias("rt"), i["_MZ"].alias("mz"), i["_score_type"].alias("score_type"), _user(i["UserParam"], "proteins").alias("proteins"), F.transform(i["PeptideHit"], hit).alias("hits"))
+
+
+def unassigned(spark: SparkSession, path: str) -> DataFrame:
+    """(run, rt, mz, score_type, proteins, hits): identifications of featureXML that lie on no feature."""
+    rows = _read(spark, path, "UnassignedPeptideIdentification", _IDENT)
+    return rows.select(_file_run().alias("run"), _ident(F.struct(*rows.columns)).alias("i")).select("run", "i.*")
+
+
 def features(spark: SparkSession, path: str) -> DataFrame:
-    """(run, feature_id, rt, mz, intensity, charge, hulls, user) of featureXML; hulls are bounding boxes in order."""
-    schema = f"_id string, position array<struct<_dim: string, _VALUE: double>>, intensity double, charge int, convexhull array<struct<_nr: int, pt: array<struct<_x: double, _y: double>>>>, UserParam {_USER}"
+    """(run, feature_id, rt, mz, intensity, charge, hulls, user, idents) of featureXML; hulls are bounding boxes in order."""
+    schema = f"_id string, position array<struct<_dim: string, _VALUE: double>>, intensity double, charge int, convexhull array<struct<_nr: int, pt: array<struct<_x: double, _y: double>>>>, UserParam {_USER}, PeptideIdentification array<{_INNER}>"
     at = lambda d: F.get(F.filter(F.col("position"), lambda p: p["_dim"] == d), F.lit(0))["_VALUE"]
 
     def box(h: Column) -> Column:
@@ -50,7 +71,7 @@ def features(spark: SparkSession, path: str) -> DataFrame:
         return F.struct(F.array_min(xs).alias("rt_start"), F.array_max(xs).alias("rt_end"), F.array_min(ys).alias("mz_start"), F.array_max(ys).alias("mz_end"))
 
     rows = _read(spark, path, "feature", schema)
-    return rows.select(_file_run().alias("run"), F.col("_id").alias("feature_id"), at("0").alias("rt"), at("1").alias("mz"), "intensity", "charge", F.transform("convexhull", box).alias("hulls"), F.col("UserParam").alias("user"))
+    return rows.select(_file_run().alias("run"), F.col("_id").alias("feature_id"), at("0").alias("rt"), at("1").alias("mz"), "intensity", "charge", F.transform("convexhull", box).alias("hulls"), F.col("UserParam").alias("user"), F.transform("PeptideIdentification", _ident).alias("idents"))
 
 
 def consensus_edges(spark: SparkSession, path: str) -> DataFrame:

@@ -19,6 +19,10 @@ def test_delimited(spark, tmp_path):
 def test_parameters_and_fasta(spark, tmp_path):
     (tmp_path / "p.txt").write_text("# c\nnum_threads = 0   # all\ndatabase_name = a b.fasta\n[ENZYME]\n1. Trypsin 1 KR P\n")
     assert {r.name: r.value for r in delimited.search_parameters(spark, str(tmp_path / "p.txt")).collect()} == {"num_threads": "0", "database_name": "a b.fasta"}
+    (tmp_path / "s.txt").write_text("a = 1\n[ENZYME]  \n0. None 0 - -\n1. Trypsin 1 KR P # cuts\n\n[OTHER]\nx [y]\n")
+    assert [tuple(r) for r in delimited.parameter_sections(spark, str(tmp_path / "s.txt")).orderBy("section", "nth").collect()] == [("ENZYME", 0, "0. None 0 - -"), ("ENZYME", 1, "1. Trypsin 1 KR P"), ("OTHER", 0, "x [y]")]
+    (tmp_path / "e.dat").write_text("ID   A_HUMAN  Reviewed; 4 AA.\nAC   P1; P2;\nDE   RecName: Full=Some protein;\nSQ   SEQUENCE   4 AA;\n     MKLV  \n//\nID   B\nAC   Q9;\nSQ   SEQUENCE\n     MKLVA AAAAA\n     GG\n//\n")
+    assert [tuple(r) for r in delimited.sp_embl(spark, str(tmp_path / "e.dat")).orderBy("entry").collect()] == [("A_HUMAN", "P1", "RecName: Full=Some protein;", "MKLV"), ("B", "Q9", "", "MKLVAAAAAAGG")]
     (tmp_path / "f.fasta").write_text(">sp|A\nMK\nLV\n>sp|B\nM\n")
     assert {r.header: r.sequence for r in delimited.fasta(spark, str(tmp_path / "f.fasta")).collect()} == {"sp|A": "MKLV", "sp|B": "M"}
 
@@ -53,7 +57,19 @@ def test_xml(spark, tmp_path):
     f = xml.features(spark, str(tmp_path / "r1.featureXML")).first()
     assert (f.run, f.feature_id, f.rt, f.mz, f.charge, [tuple(h) for h in f.hulls]) == ("r1", "f_1", 10.5, 500.0, 2, [(1.0, 3.0, 4.0, 5.0), (2.0, 2.0, 6.0, 6.0)])
     files.feature_xml(xml.features(spark, str(tmp_path / "r1.featureXML")), str(tmp_path / "back"))
-    assert xml.features(spark, str(tmp_path / "back")).first().mz == 500.0
+    again = xml.features(spark, str(tmp_path / "back")).first()
+    assert (again.mz, again.hulls) == (500.0, f.hulls)
+
+
+def test_identifications_in_feature_xml(spark, tmp_path):
+    kind = "rt double, mz double, score_type string, proteins string, hits array<struct<score: double, sequence: string, charge: int, raw_peptide: string>>"
+    ident = (1.5, 400.0, "q-value", "P1,P2", [(0.01, "PEPTIDE", 2, "PEP[+16]TIDE")])
+    f = spark.createDataFrame([("f_1", 10.0, 500.0, 7.0, 2, [ident, ident]), ("f_2", 11.0, 501.0, 8.0, None, [])], f"feature_id string, rt double, mz double, intensity double, charge int, idents array<struct<{kind.replace(' ', ':', 1)}>>".replace("rt:double, mz double, score_type string, proteins string, hits array", "rt: double, mz: double, score_type: string, proteins: string, hits: array"))
+    files.feature_xml(f, str(tmp_path / "x"), spark.createDataFrame([ident], kind))
+    got = {r.feature_id: r for r in xml.features(spark, str(tmp_path / "x")).collect()}
+    plain = lambda i: (i.rt, i.mz, i.score_type, i.proteins, [tuple(h) for h in i.hits])
+    assert [plain(i) for i in got["f_1"].idents] == [ident, ident] and not got["f_2"].idents
+    assert [plain(r) for r in xml.unassigned(spark, str(tmp_path / "x-unassigned")).collect()] == [ident]
 
 
 def test_headers_of_several_files(spark, tmp_path):
@@ -78,12 +94,16 @@ def test_directories(spark, tmp_path):
 
 
 def test_xlsx(spark, tmp_path):
-    kind = "openms_ceid string, r1_____intensity double, r2_____intensity double, r1_____pep string, first_iso_global_min_mz double"
+    kind = "openms_ceid string, r1_____intensity double, r2_____intensity double, r1_____l_pep_ident string, first_iso_global_min_mz double"
     df = spark.createDataFrame([("e<1", 1.5, None, "x" * 32767, 2.0), ("e2", None, None, None, None), ("e3", None, None, None, None)], kind).coalesce(1)
-    assert files.layout(df.columns) == [("element", ["openms_ceid"]), ("intensity", ["r1_____intensity", "r2_____intensity"]), ("pep", ["r1_____pep"]), ("bounds", ["first_iso_global_min_mz"])]
+    assert files.layout(df.columns) == [
+        ("Identifier", ["openms_ceid"], 128), ("Intensities", ["r1_____intensity", "r2_____intensity"], 96), ("Peptide identification", ["r1_____l_pep_ident"], 96),
+        ("Feature_First_Isotope_mz_start", ["first_iso_global_min_mz"], None),
+    ]
+    assert len(files.REPORT) == 23
     names = files.xlsx(df, str(tmp_path / "out"), rows=2)
     sheets = [zipfile.ZipFile(tmp_path / "out" / n).read("xl/worksheets/sheet1.xml").decode() for n in names]
-    assert len(sheets) == 2 and '<mergeCell ref="B1:C1"/>' in sheets[0] and "e&lt;1" in sheets[0] and "<v>1.5</v>" in sheets[0] and "x" * 32767 in sheets[0]
+    assert len(sheets) == 2 and '<mergeCell ref="B1:C1"/>' in sheets[0] and "e&lt;1" in sheets[0] and '<col min="1" max="1" width="18.29"' in sheets[0] and "<v>1.5</v>" in sheets[0] and "x" * 32767 in sheets[0]
     assert "e2" in sheets[0] and "e3" in sheets[1] and sorted(os.listdir(tmp_path / "out")) == names
     with pytest.raises(Exception, match="32767 characters"):
-        files.xlsx(df.withColumn("r1_____pep", F.repeat(F.lit("x"), 40000)), str(tmp_path / "long"))
+        files.xlsx(df.withColumn("r1_____l_pep_ident", F.repeat(F.lit("x"), 40000)), str(tmp_path / "long"))
