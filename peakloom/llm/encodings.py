@@ -49,7 +49,7 @@ LOST_CLEAN = 40.0  # cost of a replacement character in clean text
 BUCKETS, WORDS = 64, 1024  # hash buckets of words, and how many of each are known as a whole: those in most texts
 LONGEST = 40  # characters of a word known as a whole
 MARK = 3.0  # cost of an ASCII mark at the end of a word known as a whole
-MEMO = 400_000  # words remembered per task; beyond it they are scored again
+MEMO = 50_000  # words remembered per worker, some 200 MB; beyond it they are forgotten and scored again
 
 # Pairs (written in, read in) that occur in practice.
 UTF8_READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "iso8859-15", "iso8859-2", "koi8-r", "cp866", "mac_roman", "cp437", "cp850", "cp852", "cp932", "gbk")
@@ -307,7 +307,7 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
     multi = [Inverse("utf-8", c) for c in UTF8_READ_AS if c not in ("cp932", "gbk")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = Labeller(earlier.value) if earlier else None
+        hmm = earlier.value.labeller() if earlier else None
         for batch in batches:
             words: Counter = Counter()
             texts: Counter = Counter()
@@ -373,7 +373,7 @@ class Clean:
 
     def character(self, c: str) -> float:
         """log P(character | class) within a word."""
-        p = self.of.get(c)
+        p = self.of.get(c)  # at most one for every character of Unicode
         if p is None:
             p = self.log.get(c)
             p = self.of[c] = math.log(self.rare[_class(c)]) if p is None else p
@@ -436,8 +436,9 @@ class Labeller:
             log = np.array([self.clean.character(x) - cost for x, cost in seen[1]]) - self.clean.character(c)
             kind = _INDEX[_class(c)]
             got = step[b, to] + log - clean, step[_INDEX[_class(before)], to] + log - clean, step[b, kind] - clean - INSIDE
-            if len(self.pairs) < MEMO:
-                self.pairs[before, c] = got
+            if len(self.pairs) >= MEMO:
+                self.pairs.clear()
+            self.pairs[before, c] = got
         return got
 
     def _seen(self, k: int, c: str) -> tuple[str, float]:
@@ -562,8 +563,9 @@ class Labeller:
                 out[k] = tuple(four)
         if lost := word.count("�"):
             out[-1] = (lost * LOST_CLEAN,) * 4
-        if len(self.memo) < MEMO:
-            self.memo[word] = out
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        self.memo[word] = out
         return out
 
     def cut(self, word: str, state: int, way: int) -> list[tuple[int, int]]:
@@ -587,8 +589,9 @@ class Labeller:
             tops = self.tops.get(word)
             if tops is None:
                 tops = [(k, top, top if k < 0 else min(top, REPEATED)) for k, four in self.gains(word).items() if (top := max(four)) > 0]
-                if len(self.tops) < MEMO:
-                    self.tops[word] = tops
+                if len(self.tops) >= MEMO:
+                    self.tops.clear()
+                self.tops[word] = tops
             for k, top, again in tops:
                 total[k] = total.get(k, 0.0) + top + (n - 1) * again
         return {k for k, v in total.items() if v > SWITCH}
@@ -643,13 +646,29 @@ class Labeller:
         return "lost" if state < 0 else self.inverses[state].name
 
 
+class Model:
+    """Counts of the clean model as they are broadcast.  A worker process keeps a broadcast's value from task to task, and with it the
+    labeller made of it and the words that it has worked out."""
+
+    def __init__(self, rows: list[tuple[str, str, str, int]]):
+        self.rows, self._made = rows, None
+
+    def labeller(self) -> Labeller:
+        if self._made is None:
+            self._made = Labeller(self.rows)
+        return self._made
+
+    def __reduce__(self):
+        return Model, (self.rows,)
+
+
 _SPANS = "key bigint, first_char int, end_char int, pair string, garbled string, original string"
 
 
 def _model(docs: DataFrame) -> Broadcast:
     model = None
     for _ in range(ROUNDS):
-        model = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in clean_counts(docs, model).collect()])  # at most Unicode x classes squared, some thousands in practice
+        model = docs.sparkSession.sparkContext.broadcast(Model([tuple(r) for r in clean_counts(docs, model).collect()]))  # at most Unicode x classes squared, some thousands in practice
     return model
 
 
@@ -661,7 +680,7 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
     schema = "key bigint, words int, pairs string" + ", text string" * restored
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = Labeller(model.value)
+        hmm = model.value.labeller()
         for batch in batches:
             keys, words, pairs, texts = [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -687,7 +706,7 @@ def garbled_spans(df: DataFrame, key: str, text: str) -> DataFrame:
     model = _model(docs)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = Labeller(model.value)
+        hmm = model.value.labeller()
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
