@@ -88,9 +88,13 @@ def text_list(text: Column) -> Column:
 
 def number_list(text: Column) -> Column:
     """Numbers of a flat list's text at their positions, null where there is no finite one; null if it is no list."""
-    plain = F.translate(F.regexp_replace(text, _CALL, "$1"), "()", "[]")
+    plain = F.trim(F.when(F.contains(text, F.lit("np.")) | F.contains(text, F.lit("numpy.")), F.regexp_replace(text, _CALL, "$1")).otherwise(text))
+    inner = F.rtrim(F.translate(plain, "[]()'\"", ""))
+    parts = F.split(F.when(inner.endswith(","), F.substring(inner, F.lit(1), F.length(inner) - 1)).otherwise(inner), ",")
     number = lambda x: F.when(F.abs(x) < float("inf"), x)
-    return F.transform(text_list(plain), lambda x: number(x.try_cast("double")))
+    numbers = F.transform(parts, lambda x: number(F.trim(x).try_cast("double")))
+    ends = lambda a, b: plain.startswith(a) & plain.endswith(b)
+    return F.when(ends("[", "]") | ends("(", ")"), F.when(inner == "", F.array().cast("array<double>")).otherwise(numbers))
 
 
 def holds_any(texts: Column) -> Column:

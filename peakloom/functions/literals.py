@@ -103,8 +103,10 @@ def scan(text: str | None, path: str = "", ords: tuple = ()) -> list[tuple]:
         return at + 1
 
     while True:
-        at = _SPACE.match(text, at).end()
         c = text[at : at + 1]
+        if c.isspace():
+            at = _SPACE.match(text, at).end()
+            c = text[at : at + 1]
         if c and c in "[(":
             at += 1
             if flat := _scalars(text, at, _CLOSES[c]):
@@ -143,8 +145,10 @@ def scan(text: str | None, path: str = "", ords: tuple = ()) -> list[tuple]:
         # a value has ended: close what ends with it, until a further member follows
         while stack:
             closer = stack[-1]
-            at = _SPACE.match(text, at).end()
             c = text[at : at + 1]
+            if c.isspace():
+                at = _SPACE.match(text, at).end()
+                c = text[at : at + 1]
             if closer == "!":
                 at = text.find(")", at) + 1
                 if not at:
@@ -152,8 +156,11 @@ def scan(text: str | None, path: str = "", ords: tuple = ()) -> list[tuple]:
                 stack.pop()
                 continue
             if c == ",":
-                at = _SPACE.match(text, at + 1).end()
+                at += 1
                 c = text[at : at + 1]
+                if c.isspace():
+                    at = _SPACE.match(text, at).end()
+                    c = text[at : at + 1]
                 if c != closer:
                     if closer == "}":
                         if names.pop() == "{}":

@@ -64,27 +64,46 @@ class Flat:
         return pa.schema([(record_key, pa.int64()), *keys, *((c, wrap(pa.float64() if c in self.numeric else pa.string(), nested)) for c, _ in self.fields)])
 
 
-def _pivot(triples: list[tuple], spec: Flat, pattern: re.Pattern, names: dict[str, int]) -> Iterator[tuple[tuple, list]]:
+class _Paths(dict):
+    """Of a path: the field that its leaf is of the table, or none, and whether it passes through a member that makes a row."""
+
+    def __init__(self, spec: Flat):
+        self.names = {leaf: k for k, (_, leaves) in enumerate(spec.fields) for leaf in leaves.split("|")}
+        self.pattern, self.present = re.compile(spec.ancestor), re.compile(spec.present) if spec.present else None
+
+    def __missing__(self, path: str) -> tuple[int | None, bool]:
+        m = _LEAF.search(path)
+        field = self.names.get(m[1]) if m else None
+        if field is not None and not self.pattern.fullmatch(path[: m.start()] + m[2]):
+            field = None
+        got = field, bool(self.present and self.present.match(path))
+        if len(self) < 10_000:  # shapes are few, but keys may be data
+            self[path] = got
+        return got
+
+
+def _pivot(triples: list[tuple], spec: Flat, paths: _Paths) -> Iterator[tuple[tuple, list]]:
     """Rows of one record as blocks: the key of the parent and, per field, either the list
     over the last ordinal or a dict by it."""
-    depth, groups, present = len(spec.keys), {}, re.compile(spec.present) if spec.present else None
-    empty = [None] * (len(spec.fields) + (present is not None))
+    depth, groups = len(spec.keys), {}
+    empty = [None] * (len(spec.fields) + (paths.present is not None))
     for path, ords, value in triples:
-        if present and present.match(path):
+        field, present = paths[path]
+        if present:
             slot = groups.setdefault(ords[: depth - 1], [*empty])
             slot[-1] = slot[-1] or {}
             slot[-1][ords[depth - 1]] = ""
+        if field is None:
+            continue
         listed = isinstance(value, list)
         if len(ords) + listed != depth:
             continue
-        m = _LEAF.search(path)
-        field = names.get(m[1]) if m else None
-        if field is None or not pattern.fullmatch(path[: m.start()] + m[2]):
-            continue
-        parent, block = (ords, value) if listed else (ords[:-1], None)
-        slot = groups.setdefault(parent, [*empty])
+        parent = ords if listed else ords[:-1]
+        slot = groups.get(parent)
+        if slot is None:
+            slot = groups[parent] = [*empty]
         if listed:
-            slot[field] = block
+            slot[field] = value
         else:
             if not isinstance(slot[field], dict):
                 slot[field] = {}
@@ -119,13 +138,13 @@ def flatten(
     needs no shuffle.  apart: a broken cell takes no other cell's rows with it.  carry: columns
     of the record that its rows repeat.
     """
-    names = {leaf: k for k, (_, leaves) in enumerate(spec.fields) for leaf in leaves.split("|")}
-    pattern, arrow, depth = re.compile(spec.ancestor), spec.schema(record_key, nested), len(spec.keys)
+    arrow, depth = spec.schema(record_key, nested), len(spec.keys)
     own = StructType([df.schema[c] for c in carry])
     if clash := set(carry) & set(arrow.names):
         raise ValueError(f"carried columns have names of the table's own: {sorted(clash)}")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths = _Paths(spec)
         for batch in batches:
             record_ids, carried = batch.column(record_key), [batch.column(c) for c in carry]
             blocks: list[tuple[int, int, tuple]] = []  # row of the batch, size, key of the parent
@@ -182,7 +201,7 @@ def flatten(
                         broken = True
                 if broken and not apart:
                     continue
-                for parent, slot in _pivot(triples, spec, pattern, names):
+                for parent, slot in _pivot(triples, spec, paths):
                     at, block = _columns(slot, spec)
                     blocks.append((k, len(at), parent))
                     places += at

@@ -13,7 +13,7 @@ from peakloom.operators.nested import flatten
 from peakloom.operators.intervals import in_intervals
 from peakloom.operators.quantiles import quantiles
 from peakloom.plans.quant_sql import SQL  # noqa: F401
-from peakloom.plans.records import ISOTOPES, POINTS, TRACES, WINDOWS
+from peakloom.plans.records import POINTS, TRACES
 from peakloom.session import bounded, table
 
 QS = [k / 100 for k in range(101)]
@@ -181,6 +181,13 @@ def run_length_groups(spark, sf):
 WINDOW_LISTS = {"mz_starts": "l_mz_start", "mz_ends": "l_mz_end", "rt_starts": "l_rt_start", "rt_ends": "l_rt_end"}
 
 
+def windows() -> Column:
+    """List of (iso_pos, mz_start, mz_end, rt_start, rt_end) from a record's four window cells; null if one of them is no list."""
+    names = ("mz_start", "mz_end", "rt_start", "rt_end")
+    lists = [expr.number_list(F.col(c)).alias(n) for n, c in zip(names, WINDOW_LISTS.values())]
+    return F.transform(F.arrays_zip(*lists), lambda w, k: F.struct(k.alias("iso_pos"), *[w[n].alias(n) for n in names]))
+
+
 def _long(spark, sf, headers=()):
     """The feature of each element in each run: windows, whether it is identified, and the columns wanted."""
     f = table(spark, sf, "feature_tsv").withColumns({new: expr.number_list(F.col(old)) for new, old in WINDOW_LISTS.items()})
@@ -314,9 +321,8 @@ def xic_extraction(spark, sf):
     """Trace points of a run inside each isotope's window of m/z and time, counted and summed:
     a run's peaks are its exported points, the queries the windows exported with the features."""
     log_mz = lambda c: F.log(c) * 1e6
-    cells = {c: (f"features[].{c}", (0,)) for c in WINDOWS}
-    boxes = flatten(table(spark, sf, "feature_tsv"), "rec_id", cells, ISOTOPES, carry=("run",))
-    boxes = boxes.withColumn("m_low", log_mz(F.col("mz_start")) - 1e-3).withColumn("m_high", log_mz(F.col("mz_end")) + 1e-3).drop("feature_pos")
+    boxes = table(spark, sf, "feature_tsv").select("rec_id", "run", F.inline(windows()))
+    boxes = boxes.withColumn("m_low", log_mz(F.col("mz_start")) - 1e-3).withColumn("m_high", log_mz(F.col("mz_end")) + 1e-3)
     points = exported_points(spark, sf, carry=("run",)).where("mass_to_charge > 0")
     points = points.select("run", "retention_time", "intensity", "mass_to_charge", log_mz(F.col("mass_to_charge")).alias("m"))
     hit = in_intervals(points, boxes, ["run"], "m", "m_low", "m_high", 10.0)  # 10 ppm

@@ -61,9 +61,7 @@ def annotated_features(spark: SparkSession, sf: str) -> DataFrame:
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
     """XIC queries of the kept features: peptides once each, in file order."""
     kept = _kept(spark, sf)
-    lists = {n: expr.number_list(F.col(c)) for n, c in zip(("mz_start", "mz_end", "rt_start", "rt_end"), quant.WINDOW_LISTS.values())}
-    zipped = F.transform(F.arrays_zip(*[c.alias(n) for n, c in lists.items()]), lambda w, k: F.struct(k.alias("iso_pos"), w.mz_start.alias("mz_start"), w.mz_end.alias("mz_end"), w.rt_start.alias("rt_start"), w.rt_end.alias("rt_end")))
-    features = kept.select("rec_id", F.col("openms_fid").alias("identifier"), "charge", "ms2_scans", zipped.alias("windows"))
+    features = kept.select("rec_id", F.col("openms_fid").alias("identifier"), "charge", "ms2_scans", quant.windows().alias("windows"))
     first = idents.first_wins(idents.attached(kept, _psms(spark, sf)), ["rec_id"], "plain_peptide", ["psm_id"])
     return xic.queries(features, xic.ident_lists(first, ["rec_id"]), ["rec_id"])
 
