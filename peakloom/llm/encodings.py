@@ -307,7 +307,7 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
     multi = [Inverse("utf-8", c) for c in UTF8_READ_AS if c not in ("cp932", "gbk")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = earlier.value.labeller() if earlier else None
+        hmm = labeller(earlier) if earlier else None
         for batch in batches:
             words: Counter = Counter()
             texts: Counter = Counter()
@@ -315,8 +315,8 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
                 own: Counter = Counter()
                 judged = Located.suspects(text).text
                 own.update(_WORD.findall(judged))
-                if hmm:
-                    own.subtract(judged[start:end] for start, end, _, _ in hmm.words(judged))
+                if hmm and (active := hmm.active(own)):
+                    own.subtract([judged[start:end] for start, end, _, _ in hmm.words(judged, active)])
                 own = +own
                 words.update(own)
                 texts.update(own.keys())
@@ -499,15 +499,14 @@ class Labeller:
         first, units = next(i for i in range(n) if word[i] > "\x7f"), self._units(word, k) if units is None else units
         out = []
         for began in (False, True):
-            nodes: list[tuple | None] = [None] * (n + 1)  # value, class before, spans so far, start of the open one
-            if began:
-                nodes[0] = (0.0, _BLANK, (), 0)
+            # places ahead to value, class before, spans so far, start of the open one; those behind are let go
+            nodes: dict[int, tuple] = {0: (0.0, _BLANK, (), 0)} if began else {}
             left = None
             for i, c in enumerate(word):
-                node, inner = nodes[i], INSIDE * (i > first)
+                node, inner = nodes.pop(i, None), INSIDE * (i > first)
                 as_is = node and (node[0] + step[node[1]][kind[i]] - step[before[i]][kind[i]], kind[i], *node[2:])
                 if c <= "\x7f":
-                    if as_is and (nodes[i + 1] is None or as_is[0] > nodes[i + 1][0]):
+                    if as_is and (i + 1 not in nodes or as_is[0] > nodes[i + 1][0]):
                         nodes[i + 1] = as_is
                     continue
                 sources = [node] if node else []
@@ -520,11 +519,11 @@ class Labeller:
                     for value, b, spans, start in sources:
                         options.append((j, (value + clean.run(text, b) - (base[j] - base[i]), _INDEX[_class(text[-1])], spans, start)))
                 for j, new in options:
-                    if nodes[j] is None or new[0] > nodes[j][0]:
+                    if j not in nodes or new[0] > nodes[j][0]:
                         nodes[j] = new
                 if as_is and (left is None or as_is[0] - INSIDE > left[0]):
                     left = (as_is[0] - INSIDE, (*node[2], (node[3], i)))
-            end = nodes[n] and (nodes[n][0] + step[nodes[n][1]][_BLANK] - step[before[n]][_BLANK], (*nodes[n][2], (nodes[n][3], n)))
+            end = n in nodes and (nodes[n][0] + step[nodes[n][1]][_BLANK] - step[before[n]][_BLANK], (*nodes[n][2], (nodes[n][3], n)))
             options = [x for x in (end, left) if x]
             out += [max(options, key=lambda x: x[0]) if options else _NONE, end or _NONE]
         return out
@@ -581,11 +580,11 @@ class Labeller:
                 return [(max(a, start), min(b, end)) for a, b in spans]
         return [(start, end)]
 
-    def active(self, text: str) -> set[int]:
-        """States that a best path through ``text`` can be in: those whose words' best gains, repeats as far as they
+    def active(self, counted: Counter) -> set[int]:
+        """States that a best path through a text of these words can be in: those whose words' best gains, repeats as far as they
         count, exceed the cost of entering; a span of another state would lose."""
         total: dict[int, float] = {}
-        for word, n in Counter(_WORD.findall(text)).items():
+        for word, n in counted.items():
             tops = self.tops.get(word)
             if tops is None:
                 tops = [(k, top, top if k < 0 else min(top, REPEATED)) for k, four in self.gains(word).items() if (top := max(four)) > 0]
@@ -596,9 +595,9 @@ class Labeller:
                 total[k] = total.get(k, 0.0) + top + (n - 1) * again
         return {k for k, v in total.items() if v > SWITCH}
 
-    def words(self, text: str) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
+    def words(self, text: str, active: set[int] | None = None) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
         """(start, end, state, spans) of the words of ``text`` that hold garbled characters, in order."""
-        active = self.active(text)
+        active = self.active(Counter(_WORD.findall(text))) if active is None else active
         if not active:
             return []
         words = [(m.start(), m.end(), self.gains(m[0])) for m in _WORD.finditer(text)]
@@ -646,20 +645,13 @@ class Labeller:
         return "lost" if state < 0 else self.inverses[state].name
 
 
-class Model:
-    """Counts of the clean model as they are broadcast.  A worker process keeps a broadcast's value from task to task, and with it the
-    labeller made of it and the words that it has worked out."""
-
-    def __init__(self, rows: list[tuple[str, str, str, int]]):
-        self.rows, self._made = rows, None
-
-    def labeller(self) -> Labeller:
-        if self._made is None:
-            self._made = Labeller(self.rows)
-        return self._made
-
-    def __reduce__(self):
-        return Model, (self.rows,)
+def labeller(model: Broadcast) -> Labeller:
+    """The labeller of a broadcast {"rows": counts}.  A worker process keeps a broadcast's value from task to task, and with it the
+    labeller put beside the counts and the words that it has worked out."""
+    held = model.value
+    if "made" not in held:
+        held["made"] = Labeller(held["rows"])
+    return held["made"]
 
 
 _SPANS = "key bigint, first_char int, end_char int, pair string, garbled string, original string"
@@ -668,7 +660,7 @@ _SPANS = "key bigint, first_char int, end_char int, pair string, garbled string,
 def _model(docs: DataFrame) -> Broadcast:
     model = None
     for _ in range(ROUNDS):
-        model = docs.sparkSession.sparkContext.broadcast(Model([tuple(r) for r in clean_counts(docs, model).collect()]))  # at most Unicode x classes squared, some thousands in practice
+        model = docs.sparkSession.sparkContext.broadcast({"rows": [tuple(r) for r in clean_counts(docs, model).collect()]})  # at most Unicode x classes squared, some thousands in practice
     return model
 
 
@@ -680,7 +672,7 @@ def label(df: DataFrame, key: str, text: str, restored: bool = False) -> DataFra
     schema = "key bigint, words int, pairs string" + ", text string" * restored
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = model.value.labeller()
+        hmm = labeller(model)
         for batch in batches:
             keys, words, pairs, texts = [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -706,7 +698,7 @@ def garbled_spans(df: DataFrame, key: str, text: str) -> DataFrame:
     model = _model(docs)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hmm = model.value.labeller()
+        hmm = labeller(model)
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
