@@ -96,6 +96,15 @@ def quantified_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def trace_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per run and FDR: exported features, those with a trace, and traces."""
+    traced = quant.exported_points(spark, sf, nested=2, carry=("run", "fdr")).groupBy("run", "fdr").agg(F.count("*").alias("traced"), F.sum(F.size("iso_pos")).alias("traces"))
+    all_of = table(spark, sf, "feature_tsv").groupBy("run", "fdr").agg(F.count("*").alias("features"))
+    same = F.col("a.run").eqNullSafe(F.col("t.run")) & F.col("a.fdr").eqNullSafe(F.col("t.fdr"))
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return all_of.alias("a").join(traced.alias("t"), same, "left").select("a.run", "a.fdr", "features", none("traced"), none("traces"))
+
+
 def dangling_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Edges of consensus elements to features that were never exported."""
     features = table(spark, sf, "feature_tsv").select("run", F.col("openms_fid").alias("feature_id"))
@@ -121,5 +130,5 @@ def rt_aligned(spark: SparkSession, sf: str) -> DataFrame:
     return align.aligned(f, "rt", anchors).select("run", "feat_id", "rt", F.round("aligned", 6).alias("aligned"))
 
 
-_NAMES = "cutoff_report annotated_features xic_queries xic_arrays quantified_features dangling_edges consensus_elements rt_aligned".split()
+_NAMES = "cutoff_report annotated_features xic_queries xic_arrays quantified_features trace_counts dangling_edges consensus_elements rt_aligned".split()
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -66,6 +66,9 @@ SELECT rec_id, any_value(identifier) AS openms_fid, round(sum(auc) FILTER (top <
 any_value(prot_idents)::VARCHAR AS l_prot_ident, any_value(ms2_scans)::VARCHAR AS l_ms2_scans,
 {_TEXTS("list(mz_start ORDER BY iso_pos)", 5)} AS l_mz_start, {_TEXTS("list(mz_end ORDER BY iso_pos)", 5)} AS l_mz_end, {_TEXTS("list(rt_start * 60 ORDER BY iso_pos)", 3)} AS l_rt_start, {_TEXTS("list(rt_end * 60 ORDER BY iso_pos)", 3)} AS l_rt_end,
 string_agg({_TEXTS("t", 4)}, '; ' ORDER BY iso_pos) AS l_retention_times, string_agg({_TEXTS("m", 5)}, '; ' ORDER BY iso_pos) AS l_mass_to_charges, string_agg({_TEXTS("y", 4)}, '; ' ORDER BY iso_pos) AS l_intensities FROM j GROUP BY rec_id""",
+    "trace_counts": POINTS
+    + """, t AS (SELECT run, rec_id, count(DISTINCT iso_pos) AS traces FROM pts GROUP BY run, rec_id)
+SELECT f.run, fdr, count(*) AS features, count(t.rec_id) AS traced, coalesce(sum(traces), 0)::BIGINT AS traces FROM feature_tsv f LEFT JOIN t ON f.rec_id = t.rec_id GROUP BY f.run, fdr""",
     "dangling_edges": "SELECT DISTINCT ceid, run, feature_id FROM consensus_edges e WHERE NOT EXISTS (SELECT 1 FROM feature_tsv f WHERE f.run = e.run AND f.openms_fid = e.feature_id)",
     "consensus_elements": _ELEMENTS + " UNION ALL ".join(f"SELECT run, feat_id, seed_run, seed_id FROM m{n}" for n in range(1, _ROUNDS + 1)),
     "rt_aligned": _FEATURES
