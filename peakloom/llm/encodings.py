@@ -316,7 +316,7 @@ def clean_counts(docs: DataFrame, earlier=None) -> DataFrame:
                 judged = Located.suspects(text).text
                 own.update(_WORD.findall(judged))
                 if hmm and (active := hmm.active(own)):
-                    own.subtract([judged[start:end] for start, end, _, _ in hmm.words(judged, active)])
+                    own.subtract([judged[start:end] for start, end, _, _ in hmm.words(judged, active, cut=False)])
                 own = +own
                 words.update(own)
                 texts.update(own.keys())
@@ -420,7 +420,7 @@ class Labeller:
     """
 
     def __init__(self, rows: list[tuple[str, str, str, int]]):
-        self.clean, self.inverses, self.memo, self.tops = Clean(rows), inverses(), {}, {}
+        self.clean, self.inverses, self.memo, self.tops, self.cuts = Clean(rows), inverses(), {}, {}, {}
         self.tables = [k for k, i in enumerate(self.inverses) if i.table is not None]
         self.column = {k: c for c, k in enumerate(self.tables)}
         self.pairs: dict[tuple[str, str], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -569,6 +569,14 @@ class Labeller:
 
     def cut(self, word: str, state: int, way: int) -> list[tuple[int, int]]:
         """Spans of the best of the four paths of ``word`` in a state."""
+        got = self.cuts.get((word, state, way))
+        if got is None:
+            if len(self.cuts) >= MEMO:
+                self.cuts.clear()
+            got = self.cuts[word, state, way] = self._cut(word, state, way)
+        return got
+
+    def _cut(self, word: str, state: int, way: int) -> list[tuple[int, int]]:
         if state < 0:
             return [m.span() for m in re.finditer("�+", word)]
         start = next(i for i, c in enumerate(word) if c > "\x7f")
@@ -595,8 +603,8 @@ class Labeller:
                 total[k] = total.get(k, 0.0) + top + (n - 1) * again
         return {k for k, v in total.items() if v > SWITCH}
 
-    def words(self, text: str, active: set[int] | None = None) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
-        """(start, end, state, spans) of the words of ``text`` that hold garbled characters, in order."""
+    def words(self, text: str, active: set[int] | None = None, cut: bool = True) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
+        """(start, end, state, spans) of the words of ``text`` that hold garbled characters, in order; without ``cut`` no spans."""
         active = self.active(Counter(_WORD.findall(text))) if active is None else active
         if not active:
             return []
@@ -624,7 +632,7 @@ class Labeller:
             way = came if state is None else into[state]
             if way is not None:
                 state, k, which = way
-                out.append((start, end, k, [(start + a, start + b) for a, b in self.cut(text[start:end], k, which)]))
+                out.append((start, end, k, [(start + a, start + b) for a, b in self.cut(text[start:end], k, which)] if cut else []))
         return out[::-1]
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
