@@ -5,7 +5,7 @@ import os
 
 import duckdb
 
-SMALL = "/root/testdata/sf0.001"
+SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def cell(v):
