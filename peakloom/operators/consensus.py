@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peakloom.functions.expr import SEPARATOR
-from peakloom.session import staged
+from peakloom.operators.rounds import REACH
+from peakloom.operators.rounds import linked as linked_strip
+from peakloom.session import bounded, staged
 
 # The columns per run of the full wide table; the reduced one has the first seven, the minimal one four.
 FULL = (
@@ -16,6 +19,9 @@ FULL = (
 REDUCED = FULL[:7]
 MINIMAL = ("intensity", "openms_fid", "charge", "l_ms2_scans")
 
+ROUNDS = 8  # rounds of linking in a pass
+STRIP_ROWS = 50_000  # features a task links at a time
+
 
 def winners(edges: DataFrame, features: DataFrame) -> DataFrame:
     """(ceid, run, feature_id, rec_id): one feature (run, feature_id, rec_id) per element and run, the one with the smallest id."""
@@ -85,33 +91,42 @@ def linked(features: DataFrame, reference: DataFrame, ppm: float, rt_window: flo
     return ranked.where("_a = 1 AND _b = 1").select("feat_id", "ref_id", "run")
 
 
-def elements(features: DataFrame, ppm: float, rt_window: float) -> DataFrame:
+def _stripped(left: DataFrame, halo: int, rows: int) -> DataFrame:
+    """``left`` by ``strip``: stretches of the m/z cells of a charge, each of some ``rows`` features of its ``own`` and with all others that lie
+    within ``halo`` cells of them.  A strip is made of whole blocks of two halos, so a feature goes into two strips at most."""
+    block = 2 * halo
+    left = left.withColumn("_b", F.expr(f"_m - pmod(_m, {block})"))
+    along = Window.partitionBy("charge").orderBy("_b")  # the blocks of a charge: as many as its m/z range has
+    blocks = left.groupBy("charge", "_b").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(along) - F.col("n")).withColumn("strip", F.expr(f"before div {rows}"))
+    beside = lambda c, d: F.when(c("_b").over(along) == F.col("_b") + d, c("strip").over(along))
+    blocks = blocks.select("charge", "_b", "strip", beside(F.lag, -block).alias("low"), beside(F.lead, block).alias("high"))
+    other = F.when(F.expr(f"pmod(_m, {block})") < halo, F.col("low")).otherwise(F.col("high"))
+    own, lent = F.struct(F.col("strip"), F.lit(True).alias("own")), F.struct(other.alias("strip"), F.lit(False).alias("own"))
+    copies = F.explode(F.when(other != F.col("strip"), F.array(own, lent)).otherwise(F.array(own)))
+    return left.join(bounded(blocks), ["charge", "_b"]).select(*[c for c in left.columns if c != "_b"], copies.alias("_s")).select("*", "_s.*").drop("_s")
+
+
+def elements(features: DataFrame, ppm: float, rt_window: float, rounds: int = ROUNDS, strip_rows: int = STRIP_ROWS) -> DataFrame:
     """(run, feat_id, seed_run, seed_id): every feature (feat_id, run, nth: place of the run in order, charge, mz, rt) in one consensus
     element, named by its seed, with at most one feature of a run.
 
     In each round the seeds are the features of the earliest run that has any left around them (in the cells of time and of
     the logarithm of m/z next to theirs), so all regions go on at once; features of other runs join the seed when each is the other's
-    nearest within the tolerances.  The rest goes to the next round, at most as many as there are runs.  Each round is written down.
+    nearest within the tolerances.  The rest goes to the next round, at most as many as there are runs.
+
+    A round looks no further than ``rounds.REACH`` cells, so a strip of m/z that also has the features around it goes through ``rounds`` rounds
+    by itself, in one task.  What is then left goes to the next pass; each pass is one shuffle and is written down.
     """
     width = 2e-6 * ppm
-    cell = ["charge", "_t", "_m"]
-    left = staged(features.withColumn("_t", F.floor(F.col("rt") / rt_window)).withColumn("_m", F.floor(F.log("mz") / width)))
-    near = lambda c: F.explode(F.array(*[F.col(c) + k for k in (-1, 0, 1)]))
-    spread = lambda df: df.withColumn("_t", near("_t")).withColumn("_m", near("_m"))
+    names = ["run", "feat_id", "nth", "charge", "mz", "rt"]
+    left = staged(features.select(*names, F.floor(F.col("rt") / rt_window).alias("_t"), F.floor(F.log("mz") / width).alias("_m")))
+    ids = {f.name: f.dataType for f in left.schema}
+    schema = T.StructType([*left.schema, T.StructField("seed_run", ids["run"]), T.StructField("seed_id", ids["feat_id"]), T.StructField("found", T.BooleanType())])
     done = None
-    while not left.isEmpty():
-        first = spread(left.groupBy(*cell).agg(F.min("nth").alias("first"))).groupBy(*cell).agg(F.min("first").alias("first"))
-        marked = left.join(first, cell)
-        seeds = marked.where("nth = first").select(*cell, F.col("run").alias("seed_run"), F.col("feat_id").alias("seed_id"), F.col("nth").alias("seed_nth"), F.col("mz").alias("seed_mz"), F.col("rt").alias("seed_rt"))
-        gap_mz, gap_rt = F.abs(F.col("mz") - F.col("seed_mz")) / F.col("seed_mz") / (ppm * 1e-6), F.abs(F.col("rt") - F.col("seed_rt")) / rt_window
-        pairs = marked.where("nth > first").join(spread(seeds), cell).where((F.col("nth") != F.col("seed_nth")) & (gap_mz <= 1) & (gap_rt <= 1))
-        own, seed = F.struct("run", "feat_id"), F.struct("seed_run", "seed_id")
-        pairs = pairs.select("run", "feat_id", "seed_run", "seed_id", (gap_mz + gap_rt).alias("gap"))
-        mine = pairs.groupBy("run", "feat_id").agg(F.min_by(seed, F.struct("gap", seed)).alias("seed"))
-        theirs = pairs.groupBy("seed_run", "seed_id", "run").agg(F.min_by(own, F.struct("gap", own)).alias("own"))
-        theirs = theirs.select("own.run", "own.feat_id", F.struct("seed_run", "seed_id").alias("seed"))
-        linked = mine.join(theirs, ["run", "feat_id", "seed"]).select("run", "feat_id", "seed.*")
-        members = staged(seeds.select(F.col("seed_run").alias("run"), F.col("seed_id").alias("feat_id"), "seed_run", "seed_id").unionByName(linked))
+    while done is None or not left.isEmpty():
+        strips = _stripped(left, REACH * rounds, strip_rows).groupBy("charge", "strip")
+        passed = staged(strips.applyInArrow(lambda strip: linked_strip(strip, ppm, rt_window, rounds), schema))
+        members = passed.where("found").select("run", "feat_id", "seed_run", "seed_id")
         done = members if done is None else done.unionByName(members)
-        left = staged(left.join(members.select("run", "feat_id"), ["run", "feat_id"], "left_anti"))
-    return done if done is not None else left.select("run", "feat_id", F.col("run").alias("seed_run"), F.col("feat_id").alias("seed_id"))
+        left = passed.where("NOT found").select(*left.columns)
+    return done

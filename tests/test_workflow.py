@@ -104,3 +104,29 @@ def test_elements_span_runs(spark):
     members = [(r.seed_run, r.seed_id, r.run) for r in got]
     assert len(set(members)) == len(members) and any(r.seed_run not in ("r0",) and r.seed_run != r.run for r in got)
     assert consensus.elements(df.where("false"), 5.0, 60.0).count() == 0
+
+
+def test_elements_of_strips(spark):
+    """Strips down to one block and passes of one round give what all features at once give."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(1200):
+        nth = rng.randrange(14)
+        rows.append((k, f"r{nth}", nth, rng.choice([2, 3]), 500 * (1 + rng.uniform(0, 4e-4)), rng.uniform(0, 500)))
+    df, want = spark.createDataFrame(rows, "feat_id bigint, run string, nth int, charge int, mz double, rt double"), brute_elements(rows, 5.0, 60.0)
+    for how in ((1, 1), (2, 30), (8, 50_000)):
+        got = consensus.elements(df, 5.0, 60.0, *how).collect()
+        assert {(r.run, r.feat_id): (r.seed_run, r.seed_id) for r in got} == want and len(got) == len(rows)
+    odd = df.unionByName(spark.createDataFrame([(-1, "r1", 1, 2, float("nan"), 1.0), (-2, "r2", 2, 2, float("inf"), 1.0), (-3, "r3", 3, 2, 500.0, float("inf")), (-4, "r4", 4, 2, 500.0, -float("inf"))], df.schema))
+    got = {(r.run, r.feat_id): (r.seed_run, r.seed_id) for r in consensus.elements(odd, 5.0, 60.0).collect()}
+    assert got == want | {k: k for k in (("r1", -1), ("r2", -2), ("r3", -3), ("r4", -4))}
+
+
+def test_elements_write_few_tables(spark, monkeypatch):
+    """A run more on the ladder is a round more; the tables written and planned for are one for eight of them."""
+    rows = [(k, f"r{k:02}", k, 2, 500 * (1 + 6e-6 * k), 30.0) for k in range(24)]
+    df, written = spark.createDataFrame(rows, "feat_id bigint, run string, nth int, charge int, mz double, rt double"), []
+    monkeypatch.setattr(consensus, "staged", lambda df, real=consensus.staged: written.append(1) or real(df))
+    got = consensus.elements(df, 5.0, 60.0).collect()
+    assert {(r.run, r.feat_id): (r.seed_run, r.seed_id) for r in got} == brute_elements(rows, 5.0, 60.0) and len(got) == len(rows)
+    assert len(written) <= 4
